@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import rules as R
-from .text import _map_literal, alnum, clean, norm, text_or_blank
+from .text import _map_literal, alnum, clean, let, norm, text_or_blank
 
 ROMAN = {1: "i", 2: "ii", 3: "iii", 4: "iv"}
 FILED = "Filed / Registration"
@@ -25,10 +25,13 @@ def _highest(n: Column, pattern, default) -> Column:
     return out.otherwise(default)
 
 
-def hybrid(c) -> Column:
+def hybrid(c, profile: str | None = "full") -> Column:
     """Comparator phase: ``phase 2 3`` for combined labels, ``registration`` for filings."""
-    raw = F.lower(clean(c))
-    n = alnum(clean(c))
+    return let(clean(c, profile), _hybrid)
+
+
+def _hybrid(text: Column) -> Column:
+    raw, n = F.lower(text), alnum(text)
     token = "(?:iii|ii|i|[123])(?:[abc])?"
     span = F.regexp_extract(raw, rf"\bphase\s*({token}(?:\s*(?:/|\\|\+|&|-|to)\s*{token})*)", 1)
     stages = F.concat_ws(" ", F.when(span.rlike("(?<!i)i(?!i)|1"), "1"),
@@ -46,8 +49,8 @@ def hybrid(c) -> Column:
             .otherwise(n))
 
 
-def legacy(c) -> Column:
-    n = norm(c, "seed")
+def legacy(c, profile: str | None = "seed") -> Column:
+    n = norm(c, profile)
     for a, b in (("phase ii iii", "phase 2 3"), ("phase iii", "phase 3"), ("phase ii", "phase 2"),
                  ("phase i", "phase 1")):
         n = F.replace(n, F.lit(a), F.lit(b))

@@ -22,7 +22,10 @@ def text_or_blank(c) -> Column:
 
 
 def let(c: Column, fn) -> Column:
-    """Bind ``c`` once and use it several times inside ``fn``."""
+    """Bind ``c`` once and use it several times inside ``fn``.
+
+    Long rule folds go through here: the argument is evaluated once, and the generated
+    code of the stage stays far below the method size limit of the JVM."""
     return F.transform(F.array(c), fn)[0]
 
 
@@ -91,9 +94,7 @@ def nfkc(c) -> Column:
     """NFKC without a UDF. ASCII rows skip every step; one-to-one code points go
     through ``translate``; only rows that hold an expanding character or a combining
     mark are rebuilt character by character."""
-    x = _c(c)
     one_from, one_to, _, _ = _compatibility_tables()
-    mapped = F.translate(x, one_from, one_to)
 
     def step(acc, ch):
         pair = _lookup("pairs", F.concat(F.right(acc, F.lit(1)), ch))
@@ -104,10 +105,12 @@ def nfkc(c) -> Column:
                 .when(ch.rlike(r"^[\x00-\x7F]"), F.concat(acc, ch))
                 .otherwise(F.concat(acc, F.when(many == "", ch).otherwise(many))))
 
-    rebuilt = F.aggregate(F.split(mapped, ""), F.lit(""), step)
-    return (F.when(~x.rlike(r"[^\x00-\x7F]"), x)
-            .when(x.rlike(r"\p{M}|" + _many_class()), rebuilt)
-            .otherwise(mapped))
+    def compose(x):
+        mapped = F.translate(x, one_from, one_to)
+        return F.when(x.rlike(r"\p{M}|" + _many_class()),
+                      F.aggregate(F.split(mapped, ""), F.lit(""), step)).otherwise(mapped)
+
+    return let(_c(c), lambda x: F.when(x.rlike(r"[^\x00-\x7F]"), compose(x)).otherwise(x))
 
 
 # ---- clean and norm -----------------------------------------------------
@@ -117,8 +120,9 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, R.WS, " "))
 
 
-def clean(c, profile: str = "full") -> Column:
-    """Readable text. Profiles differ in which glyphs they repair.
+def clean(c, profile: str | None = "full") -> Column:
+    """Readable text. Profiles differ in which glyphs they repair; None means the
+    text is clean already.
 
     full      NFKC, six dashes, comparison signs
     seed      NFKC, six dashes
@@ -130,6 +134,8 @@ def clean(c, profile: str = "full") -> Column:
     rendered  stray superscript braces and asterisks removed
     plain     white space only
     """
+    if profile is None:
+        return _c(c)
     x = text_or_blank(c)
     if profile == "full":
         x = F.translate(nfkc(x), R.DASHES, "-" * 6)
@@ -158,7 +164,7 @@ def alnum(c: Column, sep: str = " ") -> Column:
     return F.btrim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", sep), F.lit(sep))
 
 
-def norm(c, profile: str = "full") -> Column:
+def norm(c, profile: str | None = "full") -> Column:
     return alnum(clean(c, profile))
 
 
@@ -199,18 +205,18 @@ def fold(c: Column, pairs) -> Column:
     return c
 
 
-def clinical_norm(c) -> Column:
+def clinical_norm(c, profile: str | None = "full") -> Column:
     """Deterministic disease wording: alias, polarity, spelling, abbreviations,
     annotations, treatment line; then alphanumeric."""
-    x = clean(c)
-    short = F.regexp_replace(x, R.POLYNEUROPATHY_SHORT, R.POLYNEUROPATHY)
-    full = fold(x, [(R.POLYNEUROPATHY_FULL, R.POLYNEUROPATHY), (R.POLYNEUROPATHY_PAREN, " "),
-                    (R.POLYNEUROPATHY_SHORT, " ")])
-    x = squeeze(F.when(x.rlike(R.POLYNEUROPATHY_FULL), full).otherwise(short))
-    x = F.lower(fold(x, R.RECEPTOR_POLARITY))
-    x = fold(x, [(rf"\b{a}\b", b) for a, b in R.SPELLING + R.ABBREVIATIONS])
-    x = fold(x, [(p, " ") for p in R.ANNOTATIONS] + R.LINE_SHORTHAND)
-    return alnum(x)
+    def rules(x):
+        short = F.regexp_replace(x, R.POLYNEUROPATHY_SHORT, R.POLYNEUROPATHY)
+        full = fold(x, [(R.POLYNEUROPATHY_FULL, R.POLYNEUROPATHY), (R.POLYNEUROPATHY_PAREN, " "),
+                        (R.POLYNEUROPATHY_SHORT, " ")])
+        x = squeeze(F.when(x.rlike(R.POLYNEUROPATHY_FULL), full).otherwise(short))
+        x = F.lower(fold(x, R.RECEPTOR_POLARITY))
+        x = fold(x, [(rf"\b{a}\b", b) for a, b in R.SPELLING + R.ABBREVIATIONS])
+        return alnum(fold(x, [(p, " ") for p in R.ANNOTATIONS] + R.LINE_SHORTHAND))
+    return let(clean(c, profile), rules)
 
 
 def disease_term(c) -> Column:

@@ -1,6 +1,6 @@
 """All registered queries. Importing the package fills the registry."""
 
-from . import scalars  # noqa: F401
+from . import scalars, linkage  # noqa: F401
 from .registry import REGISTRY
 
 __all__ = ["REGISTRY"]

@@ -32,31 +32,39 @@ PORTFOLIO_SQL = """portfolio_v AS (
 
 
 def programs(spark, d) -> DataFrame:
-    """One row per distinct programme; line items shrink to part x flags before the join."""
+    """One row per distinct programme; line items shrink to part x flags before the join.
+
+    The flags choose phase and status, and make some assets and some indications new.
+    """
     flags = table(spark, d, "lineitem").select("l_partkey", "l_returnflag", "l_linestatus").distinct()
     p = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    rows = flags.join(p, flags.l_partkey == p.p_partkey).select(
-        "p_name", "p_brand", "p_type",
-        F.when(F.col("l_returnflag") == "R", "Phase I/II").when(F.col("l_returnflag") == "A", "Phase 2b/3")
-        .otherwise("Phase 1").alias("phase"),
-        F.when(F.col("l_linestatus") == "F", "Completed").otherwise("Active").alias("status")).distinct()
-    return rows.select(
-        F.concat_ws("|", "p_name", "p_brand", "p_type", "phase", "status").alias("source_record_id"),
-        F.lit("Acme").alias("company"), F.lit("Bench").alias("source_family"),
-        F.col("p_name").alias("asset"), F.lit(None).cast("string").alias("molecule"),
-        F.lit(None).cast("string").alias("development_code"), F.col("p_brand").alias("brand"),
-        F.concat_ws(" ", "p_type", "p_name").alias("indication"), F.col("p_type").alias("area"),
-        F.col("phase"), F.col("status").alias("program_status"))
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    new_asset = F.when((flag == "R") & (status == "O"), " x").otherwise("")
+    return flags.join(p, flags.l_partkey == p.p_partkey).select(
+        F.lit("Acme").alias("target"), F.lit("Acme").alias("company"), F.lit("Bench").alias("source_family"),
+        F.concat("p_name", new_asset).alias("asset"), F.concat("p_brand", new_asset).alias("brand"),
+        F.when((flag == "A") & (status == "O"), F.concat(F.lit("novel "), F.col("p_brand")))
+        .otherwise(F.concat_ws(" ", "p_type", "p_name")).alias("indication"), F.col("p_type").alias("area"),
+        F.when(flag == "N", "Phase 1").when(flag == "A", "Phase III").when(status == "F", "Phase I/II")
+        .otherwise("Phase 2b/3").alias("phase"),
+        F.when(status == "F", "Completed").otherwise("Active").alias("program_status")).distinct().withColumn(
+        "source_record_id", F.concat_ws("|", "asset", "brand", "indication", "area", "phase", "program_status"))
 
 
 PROGRAM_SQL = """program_v AS (
-  SELECT DISTINCT p_name || '|' || p_brand || '|' || p_type || '|' || phase || '|' || status AS source_record_id,
-         p_name AS asset, p_brand AS brand, p_type || ' ' || p_name AS indication, p_type AS area, phase,
-         status AS program_status
-  FROM (SELECT p_name, p_brand, p_type,
-               CASE l_returnflag WHEN 'R' THEN 'Phase I/II' WHEN 'A' THEN 'Phase 2b/3' ELSE 'Phase 1' END AS phase,
-               CASE l_linestatus WHEN 'F' THEN 'Completed' ELSE 'Active' END AS status
-        FROM lineitem JOIN part ON l_partkey = p_partkey))"""
+  SELECT DISTINCT asset || '|' || brand || '|' || indication || '|' || area || '|' || phase || '|' || program_status AS source_record_id,
+         asset, brand, indication, area, phase, program_status
+  FROM (SELECT p_name || x AS asset, p_brand || x AS brand, p_type AS area,
+               CASE WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'novel ' || p_brand ELSE p_type || ' ' || p_name END AS indication,
+               CASE l_returnflag WHEN 'N' THEN 'Phase 1' WHEN 'A' THEN 'Phase III'
+                    ELSE CASE l_linestatus WHEN 'F' THEN 'Phase I/II' ELSE 'Phase 2b/3' END END AS phase,
+               CASE l_linestatus WHEN 'F' THEN 'Completed' ELSE 'Active' END AS program_status
+        FROM (SELECT *, CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN ' x' ELSE '' END AS x
+              FROM lineitem JOIN part ON l_partkey = p_partkey)))"""
+
+
+def aliases(spark) -> DataFrame:
+    return spark.createDataFrame([("Acme", "Acme Inc")], "target string, alias string")
 
 
 def catalog(spark, d) -> DataFrame:
