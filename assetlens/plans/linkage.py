@@ -202,12 +202,14 @@ def c02(spark, d):
 @query("C03_indication_score", PAIRS_SQL + " SELECT score::INT AS score, count(*) AS pairs FROM sc WHERE by_asset AND by_brand GROUP BY 1")
 def c03(spark, d):
     link = _linkage(spark, d)
-    s = link.profiles.select(F.struct("raw", "controlled", *L.SCORE_FEATURES).alias("s"),
-                             F.transform(F.filter("keys", lambda k: k["kind"].isin("asset", "brand")), lambda k: k["key"]).alias("keys"))
-    p = link.portfolio.select(F.struct("raw", "controlled", "aliases", *L.SCORE_FEATURES).alias("p"),
-                              F.transform(F.filter("keys", lambda k: k["kind"].isin("asset", "brand")), lambda k: k["key"]).alias("keys"))
-    pairs = s.withColumn("keys", F.array_sort("keys")).join(p.withColumn("keys", F.array_sort("keys")), "keys")
-    return pairs.groupBy(L.indication_score(lambda c: F.col(f"s.{c}"), lambda c: F.col(f"p.{c}")).alias("score")).agg(F.count("*").alias("pairs"))
+    names = lambda c: F.array_sort(F.transform(F.filter(c, lambda k: k["kind"].isin("asset", "brand")), lambda k: k["key"]))
+    weight = link.rows.filter("gate is null").groupBy("profile").agg(F.count("*").alias("n"))
+    s = link.profiles.join(weight, "profile").select(
+        "n", F.struct("raw", "controlled", *L.SCORE_FEATURES).alias("s"), names("keys").alias("keys"))
+    p = link.portfolio_profiles.select("records", F.struct("raw", "controlled", "aliases", *L.SCORE_FEATURES).alias("p"),
+                                       names("keys").alias("keys"))
+    score = L.indication_score(lambda c: F.col(f"s.{c}"), lambda c: F.col(f"p.{c}"))
+    return s.join(p, "keys").groupBy(score.alias("score")).agg(F.sum(F.col("n") * F.col("records")).alias("pairs"))
 
 
 KIND_SETS = ["code", "brand", "asset|brand", "combo", "alias", "molecule|alias", ""]
