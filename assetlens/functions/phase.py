@@ -57,9 +57,12 @@ def legacy(c, profile: str | None = "seed") -> Column:
     return n
 
 
-def explicit(c) -> Column:
+def explicit(c, profile: str | None = "soft") -> Column:
     """Highest number that directly follows the word phase (so 1/2 gives Phase 1)."""
-    n = norm(c, "soft")
+    return let(norm(c, profile), _explicit)
+
+
+def _explicit(n: Column) -> Column:
     return (F.when(_any(n, ["registration", "regulatory", "filed"]), FILED)
             .otherwise(_highest(n, lambda k: rf"\bphase\s*{k}\b", F.when(
                 n.rlike("^[1-4]$"), F.concat(F.lit("Phase "), n))
@@ -208,9 +211,9 @@ def heading(c, profile: str) -> Column:
     return F.coalesce(_map_literal(R.PHASE_HEADINGS[profile])[key], F.lit(""))
 
 
-def section_heading(c) -> Column:
+def section_heading(c, profile: str | None = "soft") -> Column:
     """A short line that is only a phase heading."""
-    s = clean(c, "soft")
+    s = clean(c, profile)
     n = alnum(s)
     return (F.when(F.length(s) > 48, "")
             .when(n.rlike(r"^phase\s*[1-4]$"), F.concat(F.lit("Phase "), F.right(n, F.lit(1))))

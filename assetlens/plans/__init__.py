@@ -1,6 +1,6 @@
 """All registered queries. Importing the package fills the registry."""
 
-from . import linkage, measures, scalars  # noqa: F401
+from . import linkage, measures, pages, scalars  # noqa: F401
 from .registry import REGISTRY
 
 __all__ = ["REGISTRY"]
