@@ -94,15 +94,12 @@ def ingredient_cover(products: DataFrame, rows: DataFrame) -> DataFrame:
     return d.withColumn("accepted", accepted).select("product_id", "row_id", "mode", "accepted")
 
 
-def pool_choice(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Best pool then best row: rows with a sponsor hit if there are any, the latest
-    effective row of the pool, its size and its number of distinct statements."""
-    hit = F.col("sponsor_score") > 0
-    best = F.max(F.struct(hit.alias("hit"), "effective", "row_id")).alias("b")
-    return rows.groupBy(*key).agg(
-        best, F.count("*").alias("n_all"), F.coalesce(F.sum(F.when(hit, 1)), F.lit(0)).alias("n_hit"),
-        F.count_distinct("statement").alias("d_all"),
-        F.count_distinct(F.when(hit, F.col("statement"))).alias("d_hit")).select(
-        *key, F.col("b.row_id").alias("row_id"), F.col("b.effective").alias("effective"),
-        F.when(F.col("n_hit") > 0, F.col("n_hit")).otherwise(F.col("n_all")).alias("pool_size"),
-        F.when(F.col("n_hit") > 0, F.col("d_hit")).otherwise(F.col("d_all")).alias("statements"))
+def pool_choice(rows: DataFrame, key: list[str], prefer: list[str], keep: list[str]) -> DataFrame:
+    """Best pool then best row: the rows at the highest sponsor score, the best of them by
+    ``prefer`` (earliest ordinal on ties), the size of the pool and its distinct statements."""
+    lead = F.struct(*prefer, (-F.col("ordinal")).alias("_o"), *[c for c in keep if c not in prefer])
+    per = rows.groupBy(*key, "sponsor_score").agg(
+        F.max(lead).alias("b"), F.count("*").alias("pool_size"), F.count_distinct("statement").alias("statements"))
+    best = per.groupBy(*key).agg(F.max(F.struct("sponsor_score", "pool_size", "statements", "b")).alias("m"))
+    return best.select(*key, F.col("m.sponsor_score").alias("sponsor_score"), F.col("m.pool_size").alias("pool_size"),
+                       F.col("m.statements").alias("statements"), *[F.col(f"m.b.{c}").alias(c) for c in keep])

@@ -139,10 +139,11 @@ p AS (SELECT l_partkey, count(*) FILTER (s > 0) AS h FROM r GROUP BY 1),
 q AS (SELECT r.* FROM r JOIN p USING (l_partkey) WHERE h = 0 OR s > 0)
 SELECT l_partkey, arg_max(row_id, (effective, row_id)) AS row_id, max(effective) AS effective, count(*) AS pool_size, count(DISTINCT st) AS statements FROM q GROUP BY 1""")
 def w03(spark, d):
+    row_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     rows = table(spark, d, "lineitem").select(
         "l_partkey", F.when(F.col("l_tax") > 0.06, 3).otherwise(0).alias("sponsor_score"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("effective"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"), F.col("l_returnflag").alias("statement"))
-    return M.pool_choice(rows, ["l_partkey"])
+        row_id.alias("row_id"), (-row_id).alias("ordinal"), F.col("l_returnflag").alias("statement"))
+    return M.pool_choice(rows, ["l_partkey"], ["effective"], ["row_id", "effective"]).drop("sponsor_score")
 
 
 @query("W04_ordinal_after_dedup", """WITH f AS (SELECT user_id, event_type, round(value)::BIGINT AS v, min(event_id) AS event_id FROM events GROUP BY ALL)
