@@ -71,6 +71,7 @@ def _map_literal(d: dict) -> Column:
 
 
 MARK, TO = "\u0001", "\u0002"
+UNSTABLE = r"[^\x00-\x7F\u00C0-\u0131]"  # all other code points are their own NFKC form
 
 
 @functools.lru_cache(maxsize=4)
@@ -91,9 +92,9 @@ def _lookup(kind: str, key: Column) -> Column:
 
 
 def nfkc(c) -> Column:
-    """NFKC without a UDF. ASCII rows skip every step; one-to-one code points go
-    through ``translate``; only rows that hold an expanding character or a combining
-    mark are rebuilt character by character."""
+    """NFKC without a UDF. Rows of ASCII and plain accented Latin skip every step;
+    one-to-one code points go through ``translate``; only rows that hold an expanding
+    character or a combining mark are rebuilt character by character."""
     one_from, one_to, _, _ = _compatibility_tables()
 
     def step(acc, ch):
@@ -110,7 +111,7 @@ def nfkc(c) -> Column:
         return F.when(x.rlike(r"\p{M}|" + _many_class()),
                       F.aggregate(F.split(mapped, ""), F.lit(""), step)).otherwise(mapped)
 
-    return let(_c(c), lambda x: F.when(x.rlike(r"[^\x00-\x7F]"), compose(x)).otherwise(x))
+    return let(_c(c), lambda x: F.when(x.rlike(UNSTABLE), compose(x)).otherwise(x))
 
 
 # ---- clean and norm -----------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import phrase_in
+from ..functions.text import let, phrase_in
 
 ANCHOR_WORDS = 6
 
@@ -27,15 +27,16 @@ def phrase_hits(texts: DataFrame, phrases: DataFrame, text_id: str, text: str,
                 .withColumn("_size", F.least(F.size("_words"), F.lit(ANCHOR_WORDS)))
                 .withColumn("_hash", _anchor(F.col("_words"), F.col("_size"))))
     sizes = sorted(r[0] for r in distinct.select("_size").distinct().collect())  # at most ANCHOR_WORDS rows
-    words = F.split(text, " ")
+    empty = F.array().cast("array<bigint>")
 
-    def windows(size):
+    def windows(words, size):
         starts = F.sequence(F.lit(1), F.size(words) - size + 1)
         hashes = F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(words, i, size), " "), F.lit(size)))
-        return F.when(F.size(words) >= size, F.array_distinct(hashes)).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.size(words) >= size, hashes).otherwise(empty)
 
-    keyed = texts.select(text_id, F.explode(F.concat(*[windows(s) for s in sizes]) if sizes
-                                            else F.array().cast("array<bigint>")).alias("_hash"))
+    hashes = let(F.split(text, " "), lambda words: F.array_distinct(
+        F.concat(*[windows(words, s) for s in sizes]) if sizes else empty))
+    keyed = texts.select(text_id, F.explode(hashes).alias("_hash"))
     candidates = keyed.join(distinct.select("_hash", "_phrase"), "_hash").select(text_id, "_phrase").distinct()
     found = (texts.select(text_id, text).join(candidates, text_id)
              .filter(phrase_in(F.col("_phrase"), F.col(text))).select(text_id, "_phrase"))

@@ -19,7 +19,7 @@ def s12(spark, d):
     return B.layout_words(spark, d).groupBy("doc_id").agg(cnt(), F.sum("x1").alias("sum_x1"), F.max("y1").alias("bottom"))
 
 
-@query("S11_dedupe_nodes", W + """ SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS t, round_even((x0 + 0.3) / 4, 0) AS a, round_even((y0 // 24 * 24) / 4, 0) AS b, round_even(greatest(x1 - x0, 0) / 6, 0) AS c
+@query("S11_dedupe_nodes", W + """ SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS t, round_even((x0 + 0.3) / 4, 0) AS a, round_even(floor(y0 / 24) * 24 / 4, 0) AS b, round_even(greatest(x1 - x0, 0) / 6, 0) AS c
  FROM layout_word_v WHERE x1 > x0 AND trim(regexp_replace(text, '\\s+', ' ', 'g')) <> '') GROUP BY 1""")
 def s11(spark, d):
     w = B.layout_words(spark, d).select("doc_id", F.col("pos").alias("node_id"), "text", (F.col("x0") + 0.3).alias("x"), (F.floor(F.col("y0") / 24) * 24).alias("y"),

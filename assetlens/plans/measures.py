@@ -146,7 +146,7 @@ def w03(spark, d):
     return M.pool_choice(rows, ["l_partkey"], ["effective"], ["row_id", "effective"]).drop("sponsor_score")
 
 
-@query("W04_ordinal_after_dedup", """WITH f AS (SELECT user_id, event_type, round(value)::BIGINT AS v, min(event_id) AS event_id FROM events GROUP BY ALL)
+@query("W04_ordinal_after_dedup", """WITH f AS (SELECT user_id, event_type, round_even(value, 0)::BIGINT AS v, min(event_id) AS event_id FROM events GROUP BY ALL)
 SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ordinal FROM f""")
 def w04(spark, d):
     e = table(spark, d, "events").select("user_id", "event_id", "event_type", "value")

@@ -434,8 +434,8 @@ def i17(spark, d):
   replace({B.norm_sql('asset')}, ' ', '_') || '|' || replace({B.norm_sql('indication')}, ' ', '_') AS candidate_id FROM program_v""")
 def i18(spark, d):
     p = B.programs(spark, d)
-    return p.select(I.candidate_id("company", "source_family", "source_record_id", "asset", "brand", "molecule",
-                                   "development_code", "indication").alias("candidate_id"))
+    return p.select(I.candidate_id("company", "source_family", "source_record_id", "asset", "brand", F.lit(None).cast("string"),
+                                   F.lit(""), "indication").alias("candidate_id"))
 
 
 def _fingerprint_sql():
