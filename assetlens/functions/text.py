@@ -135,8 +135,10 @@ def clean(c, profile: str | None = "full") -> Column:
     rendered  stray superscript braces and asterisks removed
     plain     white space only
     """
-    if profile is None:
-        return _c(c)
+    return _c(c) if profile is None else squeeze(_repaired(c, profile))
+
+
+def _repaired(c, profile: str) -> Column:
     x = text_or_blank(c)
     if profile == "full":
         x = F.translate(nfkc(x), R.DASHES, "-" * 6)
@@ -158,7 +160,7 @@ def clean(c, profile: str | None = "full") -> Column:
         x = F.translate(x, "∗*", "")
     elif profile != "plain":
         raise ValueError(profile)
-    return squeeze(x)
+    return x
 
 
 def alnum(c: Column, sep: str = " ") -> Column:
@@ -166,7 +168,8 @@ def alnum(c: Column, sep: str = " ") -> Column:
 
 
 def norm(c, profile: str | None = "full") -> Column:
-    return alnum(clean(c, profile))
+    """Lower-case words of a-z and 0-9. White space needs no step of its own here."""
+    return alnum(_c(c) if profile is None else _repaired(c, profile))
 
 
 def norm_plain(c) -> Column:
