@@ -71,6 +71,7 @@ def _map_literal(d: dict) -> Column:
 
 
 MARK, TO = "\u0001", "\u0002"
+UNTIDY = r"[^ -~\u00C0-\u0131]|^ | $|  "  # text without a match is clean in every profile but rendered
 UNSTABLE = r"[^\x00-\x7F\u00C0-\u0131]"  # all other code points are their own NFKC form
 
 
@@ -135,7 +136,11 @@ def clean(c, profile: str | None = "full") -> Column:
     rendered  stray superscript braces and asterisks removed
     plain     white space only
     """
-    return _c(c) if profile is None else squeeze(_repaired(c, profile))
+    if profile is None:
+        return _c(c)
+    if profile == "rendered":
+        return squeeze(_repaired(c, profile))
+    return let(text_or_blank(c), lambda x: F.when(x.rlike(UNTIDY), squeeze(_repaired(x, profile))).otherwise(x))
 
 
 def _repaired(c, profile: str) -> Column:

@@ -163,6 +163,12 @@ def portfolio_keys(mode: str) -> Column:
     return _key_array(sets)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Hash rows over all shuffle partitions. Rule folds cost far more time than bytes, so a
+    partition count chosen by bytes would leave most cores idle."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 SOURCE_RAW = ["target", "asset", "molecule", "development_code", "brand", "indication",
               "controlled_indication_candidate", "phase", "partners"]
 PORTFOLIO_RAW = [c for c in PORTFOLIO if c not in ("record_id", "portfolio_ordinal", "portfolio_status")]
@@ -174,7 +180,7 @@ def _digest(cols) -> Column:
 
 def source_profiles(eligible: DataFrame, mode: str) -> DataFrame:
     """One row per distinct comparable content, with features computed once."""
-    d = eligible.select("profile", *SOURCE_RAW).dropDuplicates(["profile"])
+    d = spread(eligible.select("profile", *SOURCE_RAW).dropDuplicates(["profile"]), "profile")
     d = d.withColumn("keys", source_keys(mode))
     if mode == "exact":
         return d.select("profile", "target", "keys", norm("indication", None).alias("raw"),
@@ -193,7 +199,7 @@ def source_profiles(eligible: DataFrame, mode: str) -> DataFrame:
 
 def portfolio_features(portfolio: DataFrame, names: DataFrame, mode: str) -> DataFrame:
     """Portfolio rows in scope of a target ('*' for rows without a company)."""
-    d = cleaned(portfolio, PORTFOLIO, keep=("record_id", "portfolio_ordinal"))
+    d = cleaned(spread(portfolio, "record_id"), PORTFOLIO, keep=("record_id", "portfolio_ordinal"))
     scoped = names.select(F.col("name").alias("_n"), F.col("target").alias("_t"))
     d = (d.withColumn("_company", norm("company", None))
          .join(scoped, F.col("_company") == F.col("_n"), "left")
@@ -218,10 +224,11 @@ def portfolio_features(portfolio: DataFrame, names: DataFrame, mode: str) -> Dat
             "indication_aliases", lambda a: clinical_norm(a, None)), lambda a: a != "")),
         "studies": I.study_codes("indication", None), "dev": norm("development_code", None),
         "line": F.when(own_line != "", own_line).otherwise(F.coalesce(F.get(setting, F.lit(0)), F.lit(""))),
-        "flags": I.qualifier_flags(clinical_norm(F.concat_ws(" ", "indication", "biomarker_patient_segment"), None)),
+        "flag_text": clinical_norm(F.concat_ws(" ", "indication", "biomarker_patient_segment"), None),
         "phase_text": F.col("phase"), "phase_key": P.hybrid("phase", None),
         "combos": F.filter(F.array(*[I.combination_components(c, None) for c in ("brand", "molecule", "asset")]),
                            lambda a: F.size(a) >= 2)})
+    d = d.withColumn("flags", I.qualifier_flags(F.col("flag_text")))
     return d.select(*common, "raw", "controlled", F.col("ialiases").alias("aliases"), "studies", "dev",
                     "line", "flags", F.col("phase_key").alias("phase"), "phase_text", "combos")
 
