@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .labelled import crc_of_id
+from .quality import quality
 from .rlz_dedup import rlz_dedup
 from .suffix_dedup import suffix_array_dedup
+from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +41,19 @@ def op5(spark, sf_dir):
     out = suffix_array_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_quality_fm")
+def op4(spark, sf_dir):
+    held = F.pmod(crc_of_id(), F.lit(3)) == 1
+    out = quality(table(spark, sf_dir, "documents", "doc_id", "text"),
+                  table(spark, sf_dir, "labels", "doc_id", "quality"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query("op10_toxicity_nb_linear")
+def op10(spark, sf_dir):
+    held = F.pmod(crc_of_id(), F.lit(5)) == 0
+    out = toxicity(table(spark, sf_dir, "documents", "doc_id", "text"),
+                   table(spark, sf_dir, "labels", "doc_id", "toxic"), ~held)
+    return out.select("doc_id", held.alias("held_out"), "score", "predicted")

@@ -75,6 +75,11 @@ def anchor_hashes(rules: Rules, table: pa.Table) -> tuple[np.ndarray, np.ndarray
         _, h, low = anchors(rules, values, rows)
         if not len(low):
             continue
+        reach = rules.gram + rules.span - 1
+        first = np.maximum(rows[1:-1] - reach + 1, 0)
+        low = low.copy()
+        over = spread_starts(first, rows[1:-1] - first)
+        low[over[over < len(low)]] = 0  # spans over two rows would make the set depend on the order of rows
         pad = np.zeros(rules.span - 1, np.uint64)
         high = sliding(np.maximum, np.r_[pad, low, pad], rules.span)
         keys, n = np.unique(h[(h == high) & (h != TOP)], return_counts=True)
