@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import decontaminate
 from .labelled import crc_of_id
 from .quality import quality
 from .rlz_dedup import rlz_dedup
@@ -57,3 +58,37 @@ def op10(spark, sf_dir):
     out = toxicity(table(spark, sf_dir, "documents", "doc_id", "text"),
                    table(spark, sf_dir, "labels", "doc_id", "toxic"), ~held)
     return out.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query("op9_decontaminate", r"""
+WITH words_of AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+starts AS (
+  SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words_of, sizes WHERE len(w) >= n)),
+hits AS (SELECT rid, s.n, i, item FROM starts s JOIN windows USING (n, win)),
+covered AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hits) GROUP BY rid),
+named AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM words_of LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)""")
+def op9(spark, sf_dir):
+    out = decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"),
+                        table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
