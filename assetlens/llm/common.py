@@ -165,6 +165,11 @@ def blob_rows(table: pa.Table):
     return [(b, g, k, memoryview(x.as_buffer())) for b, g, k, x in sorted(rows, key=lambda r: r[:3])]
 
 
+def rows_of(rows) -> list[tuple[int, int, int, bytes]]:
+    """blob_rows as rows for blob_table, to pass them on."""
+    return [(b, g, k, x.tobytes()) for b, g, k, x in rows]
+
+
 def pack(*parts: np.ndarray) -> bytes:
     """Arrays as one blob: their lengths, then their bytes."""
     head = np.array([len(parts), *(p.nbytes for p in parts)], np.int64)

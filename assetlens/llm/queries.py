@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import decontaminate
 from .labelled import crc_of_id
+from .ngram_join import ngram_jaccard_join
 from .quality import quality
 from .rlz_dedup import rlz_dedup
 from .suffix_dedup import suffix_array_dedup
@@ -92,3 +93,8 @@ def op9(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op7_ngram_jaccard_join")
+def op7(spark, sf_dir):
+    return ngram_jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))

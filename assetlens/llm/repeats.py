@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import (BLOBS, batches, blob_rows, blob_table, concat, cut, cut_lineage, dealt, group_count, mix, pack,
-                     prefix_hash, sliding, spread_starts, text_bytes, unpack, window_hash)
+from .common import (BLOBS, batches, blob_rows, blob_table, concat, cut, dealt, group_count, mix, pack, prefix_hash,
+                     rows_of, sliding, spread_starts, text_bytes, unpack, window_hash)
 
 TOP = np.uint64(2**64 - 1)
 
@@ -221,7 +221,7 @@ def merge_runs(runs: list) -> list[np.ndarray]:
 def judged(rules: Rules, bucket: pa.Table) -> pa.Table:
     """Answers of a shard: bits per window of each group's chunks and digests."""
     rows = blob_rows(bucket)
-    out = []
+    out = rows_of([r for r in rows if r[2] == 0])
     parts = [(b, g, unpack(x, np.int32, np.uint8, rules.payload)) for b, g, k, x in rows if k == 1]
     if parts:
         sizes = concat([p[0] for *_, p in parts], np.int32).astype(np.int64)
@@ -301,7 +301,8 @@ def remove_repeats(docs: DataFrame, rules: Rules, finish: Callable, extra: T.Str
     def ship(key, table, replies):
         rows = blob_rows(replies)
         state, chunks, points = collect_chunks(rules, table, *flagged(table, rows, buckets, rules))
-        return blob_table(chunk_blobs(rules, key[0].as_py(), state, chunks, points, shards)[0])
+        # The flags travel along, so that one plan holds all passes and the dealt documents are shuffled once.
+        return blob_table([*rows_of(rows), *chunk_blobs(rules, key[0].as_py(), state, chunks, points, shards)[0]])
 
     def decide(table):
         return judged(rules, table)
@@ -313,11 +314,7 @@ def remove_repeats(docs: DataFrame, rules: Rules, finish: Callable, extra: T.Str
                  for f in extra.fields]
         return pa.Table.from_arrays(cols, schema=arrow)
 
-    spark = docs.sparkSession
     flags = own.groupBy("_g").applyInArrow(send, BLOBS).groupBy("_b").applyInArrow(answer, BLOBS)
-    flags = cut_lineage(flags, spark)
-    sent = own.groupBy("_g").cogroup(flags.groupBy("_g")).applyInArrow(
-        lambda key, a, b: ship(key, a, b), BLOBS)
-    bits = cut_lineage(sent.groupBy("_b").applyInArrow(decide, BLOBS), spark)
-    return own.groupBy("_g").cogroup(flags.unionByName(bits).groupBy("_g")).applyInArrow(
-        lambda key, a, b: close(a, b), schema)
+    sent = own.groupBy("_g").cogroup(flags.groupBy("_g")).applyInArrow(lambda key, a, b: ship(key, a, b), BLOBS)
+    bits = sent.groupBy("_b").applyInArrow(decide, BLOBS)
+    return own.groupBy("_g").cogroup(bits.groupBy("_g")).applyInArrow(lambda key, a, b: close(a, b), schema)
