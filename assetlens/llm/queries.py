@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import render_chats
 from .decontaminate import decontaminate
+from .embeddings import embedding_dedup
 from .labelled import crc_of_id
+from .maxent import maxent_score
+from .mixing import mix_to_targets
 from .ngram_join import ngram_jaccard_join
 from .quality import quality
 from .rlz_dedup import rlz_dedup
@@ -98,3 +102,41 @@ def op9(spark, sf_dir):
 @query("op7_ngram_jaccard_join")
 def op7(spark, sf_dir):
     return ngram_jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op1_maxent_score")
+def op1(spark, sf_dir):
+    return maxent_score(table(spark, sf_dir, "documents", "doc_id", "text"), F.pmod(crc_of_id(), F.lit(5)) == 1)
+
+
+@query("op2_collapse_chats", r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+one AS (SELECT conv_id, turn, string_agg(length(role) || ':' || role || length(text) || ':' || text, '' ORDER BY role, text) AS s
+        FROM t GROUP BY conv_id, turn),
+pre AS (
+  SELECT conv_id, turn, max(turn) OVER (PARTITION BY conv_id) AS last,
+         string_agg(turn || '=' || s, '') OVER (PARTITION BY conv_id ORDER BY turn) AS p
+  FROM one),
+whole AS (SELECT min(conv_id) AS conv_id, count(*) AS copies, turn, p FROM pre WHERE turn = last GROUP BY turn, p),
+keep AS (SELECT conv_id, copies FROM whole w
+         WHERE NOT EXISTS (SELECT 1 FROM pre WHERE pre.turn = w.turn AND pre.p = w.p AND pre.last > pre.turn))
+SELECT conv_id, CAST(greatest(turn, 0) // 1024 AS BIGINT) AS part, CAST(copies AS BIGINT) AS copies,
+       CAST(count(*) AS BIGINT) AS n_turns,
+       string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY turn, role, text) AS rendered
+FROM t JOIN keep USING (conv_id) GROUP BY ALL""")
+def op2(spark, sf_dir):
+    return render_chats(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+@query("op6_mix_to_targets")
+def op6(spark, sf_dir):
+    out = mix_to_targets(table(spark, sf_dir, "documents", "doc_id", "text"),
+                         table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+    return out.select("doc_id", "n_tokens", "posterior", "rate")
+
+
+@query("op8_embedding_dedup")
+def op8(spark, sf_dir):
+    return embedding_dedup(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
