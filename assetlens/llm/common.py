@@ -9,6 +9,7 @@ documents is the same plan in each pass, so Spark reuses it and the text moves o
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -196,12 +197,25 @@ def spread_starts(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out + np.repeat(starts - (np.cumsum(counts) - counts), counts)
 
 
-def cut_lineage(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Reliable checkpoint in the shared folder; a local session without one uses its warehouse."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that all executors share; a session without one gets a folder in its warehouse."""
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        sc.setCheckpointDir(folder)
+        spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    shared_folder(spark)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """df as a Parquet table in the shared folder, read again."""
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
