@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,7 +77,7 @@ def classes(docs: DataFrame, size: int) -> DataFrame:
 
 def own_sets(table: pa.Table, ids: np.ndarray, size: int):
     """(tokens, offsets, class ids) of the group's representatives, one batch at a time."""
-    at = pa.compute.is_in(table["doc_id"], pa.array(ids))
+    at = pc.is_in(table["doc_id"], pa.array(ids))
     for _, buf, off in batches(table.filter(at)["text"]):
         token, ends = shingle_sets(buf, off, size)
         yield token, ends, class_ids(token, ends)
