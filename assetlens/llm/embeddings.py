@@ -22,6 +22,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -194,7 +195,7 @@ def embedding_dedup(vectors: DataFrame, least: float = 0.93, recall: float = 0.9
             yield pa.RecordBatch.from_arrays([pa.array(out[c], k) for c, k in zip(out, kinds)], list(out))
 
     def compare(table):
-        base, ask = table.filter(pa.compute.invert(table["look"])), table.filter(table["look"])
+        base, ask = table.filter(pc.invert(table["look"])), table.filter(table["look"])
         if not base.num_rows or not ask.num_rows:
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
         ids, n, edges = block_links(base, ask, least)
