@@ -127,6 +127,13 @@ def sliding(op, values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of at most `rows` rows: whole texts are long, and a batch is held several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes in a text column, from one aggregate; sizes groups and buckets."""
     return int(docs.agg(F.sum(F.octet_length(column))).first()[0] or 0)

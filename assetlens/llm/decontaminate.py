@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (ALNUM, LOWER, batches, group_count, mix, spread_starts, text_bytes,
+from .common import (bound_batches, ALNUM, LOWER, batches, group_count, mix, spread_starts, text_bytes,
                      word_hashes, words)
 
 SHINGLE = 3
@@ -162,12 +162,13 @@ def block_hits(block: Windows, h: np.ndarray, rows: np.ndarray):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = 4 << 20) -> DataFrame:
     """Rows of docs with n_words, n_hit and items (ids of the items found, as sorted strings)."""
+    bound_batches(docs.sparkSession)
     names = ("n_words", "n_hit", "items")
     rest = [docs.schema[c] for c in docs.columns if c not in names]
     bench = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("item_id").cast("string").alias("item_id"), "text")
     blocks = group_count(text_bytes(bench), block_bytes, 1)
-    marks = [T.StructField("_hit", T.BinaryType()), T.StructField("_items", T.ArrayType(T.StringType()))]
+    markers = []
     out = docs.select(*(f.name for f in rest), F.lit(None).cast("binary").alias("_hit"),
                       F.array().cast("array<string>").alias("_items"))
     for b in range(blocks):
@@ -177,8 +178,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_b
         if not len(block.items):
             continue
         block.choose(frequencies(docs, block))
-        out = out.mapInArrow(_marker(out.sparkSession.sparkContext.broadcast(block)), T.StructType([*rest, *marks]))
-    return out.mapInArrow(_counter(), T.StructType([
+        markers.append(_marker(docs.sparkSession.sparkContext.broadcast(block)))
+
+    def run(tables):
+        # One Python worker for all blocks: texts go to Python and back once.
+        for mark in markers:
+            tables = mark(tables)
+        yield from _counter()(tables)
+
+    return out.mapInArrow(run, T.StructType([
         *rest, T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
         T.StructField("items", T.ArrayType(T.StringType()))]))
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batches, concat, cut_lineage, pack, unpack, word_hashes, words
+from .common import bound_batches, batches, concat, cut_lineage, pack, unpack, word_hashes, words
 from .labelled import class_counts, sample
 
 BITS = 17
@@ -71,9 +71,15 @@ def fit_domains(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> tupl
     return domains, np.log(prior / prior.sum()), rate - rate.mean(0)
 
 
-def posteriors(docs: DataFrame, prior: np.ndarray, rate: np.ndarray) -> DataFrame:
-    """Rows of docs with n_tokens and posterior; word evidence counts by the square root of the length."""
-    rest = [f for f in docs.schema.fields if f.name not in ("n_tokens", "posterior", "rate")]
+def rows_of(docs: DataFrame) -> list[T.StructField]:
+    return [f for f in docs.schema.fields if f.name not in ("n_tokens", "posterior", "rate")]
+
+
+def posteriors(docs: DataFrame, prior: np.ndarray, rate: np.ndarray, keep: list[T.StructField], after=None) -> DataFrame:
+    """The kept columns with n_tokens and posterior; word evidence counts by the square root of the length.
+
+    after(posteriors) adds the rate in the same pass.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((prior, rate.astype(np.float32)))
 
     def run(tables):
@@ -91,16 +97,18 @@ def posteriors(docs: DataFrame, prior: np.ndarray, rate: np.ndarray) -> DataFram
                 z = np.exp(z - z.max(1, keepdims=True))
                 post.append(z / z.sum(1, keepdims=True))
                 n.append(size)
-            flat = np.concatenate(post).reshape(-1)
-            k = len(prior)
-            yield pa.RecordBatch.from_arrays(
-                [*(t.column(f.name) for f in rest), pa.array(concat(n, np.int64)),
-                 pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k, dtype=np.int32)), pa.array(flat))],
-                [*(f.name for f in rest), "n_tokens", "posterior"])
+            post = np.concatenate(post)
+            flat, k = post.reshape(-1), len(prior)
+            cols = [*(t.column(f.name) for f in keep), pa.array(concat(n, np.int64)),
+                    pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k, dtype=np.int32)), pa.array(flat))]
+            names = [*(f.name for f in keep), "n_tokens", "posterior"]
+            if after is not None:
+                cols, names = [*cols, pa.array(after(post))], [*names, "rate"]
+            yield pa.RecordBatch.from_arrays(cols, names)
 
-    schema = T.StructType([*rest, T.StructField("n_tokens", T.LongType()),
-                           T.StructField("posterior", T.ArrayType(T.DoubleType()))])
-    return docs.select(*(f.name for f in rest)).mapInArrow(run, schema)
+    schema = T.StructType([*keep, T.StructField("n_tokens", T.LongType()), T.StructField(
+        "posterior", T.ArrayType(T.DoubleType())), *([T.StructField("rate", T.DoubleType())] if after is not None else [])])
+    return docs.select("text", *(f.name for f in keep if f.name != "text")).mapInArrow(run, schema)
 
 
 def rates(post: np.ndarray, residuals: list[np.ndarray], step: float, ridge: float) -> tuple[np.ndarray, np.ndarray]:
@@ -144,22 +152,13 @@ def fit_rates(rows: DataFrame, target: np.ndarray, rounds: int, ridge: float, cl
 def mix_to_targets(docs: DataFrame, labels: DataFrame, targets: dict[int, float] | None = None, rows_per_class: int = 2000,
                    rounds: int = 40, ridge: float = 1e-3, close: float = 1e-4) -> DataFrame:
     """Rows of docs with n_tokens, posterior (by domain, ascending) and rate."""
+    bound_batches(docs.sparkSession)
     domains, prior, word_rate = fit_domains(docs, labels, rows_per_class)
+    keep = rows_of(docs)
     if not domains:
-        rest = [c for c in docs.columns if c not in ("n_tokens", "posterior", "rate")]
-        one = posteriors(docs, np.zeros(1), np.zeros((1, 1 << BITS)))
-        return one.select(*rest, "n_tokens", "posterior", F.lit(1.0).alias("rate"))
+        return posteriors(docs, np.zeros(1), np.zeros((1, 1 << BITS)), keep, lambda p: np.ones(len(p)))
     wanted = np.array([(TARGETS if targets is None else targets).get(d, 0.0) for d in domains])
     wanted = wanted / wanted.sum() if wanted.sum() else np.full(len(domains), 1 / len(domains))
-    found = posteriors(docs, prior, word_rate)
-    rows = cut_lineage(found.select("n_tokens", "posterior"), docs.sparkSession)
+    rows = cut_lineage(posteriors(docs, prior, word_rate, []), docs.sparkSession)
     residuals, step = fit_rates(rows, wanted, rounds, ridge, close)
-
-    def apply(tables):
-        for t in tables:
-            if t.num_rows:
-                p = t.column("posterior").flatten().to_numpy().reshape(-1, len(wanted))
-                r = rates(p, residuals, step, ridge)[0]
-                yield pa.RecordBatch.from_arrays([*t.columns, pa.array(r)], [*t.schema.names, "rate"])
-
-    return found.mapInArrow(apply, T.StructType([*found.schema.fields, T.StructField("rate", T.DoubleType())]))
+    return posteriors(docs, prior, word_rate, keep, lambda p: rates(p, residuals, step, ridge)[0])

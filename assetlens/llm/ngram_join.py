@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (BLOBS, LOWER, batches, blob_rows, blob_table, concat, cut_lineage, dealt, group_count, mix, pack,
+from .common import (bound_batches, BLOBS, LOWER, batches, blob_rows, blob_table, concat, cut_lineage, dealt, group_count, mix, pack,
                      prefix_hash, span_hash, text_bytes, unpack, window_hash, word_hashes, words)
 from .components import components
 
@@ -163,6 +163,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def ngram_jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, group_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id that links reach) of every row of docs."""
+    bound_batches(docs.sparkSession)
     spark = docs.sparkSession
     total = text_bytes(docs)
     groups, buckets = group_count(total, group_bytes), group_count(total, 2 * group_bytes)

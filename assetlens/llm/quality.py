@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batches, word_hashes, words
+from .common import bound_batches, batches, word_hashes, words
 from .labelled import class_counts, sample
 
 BITS, FACTORS, BINS = 16, 8, 16
@@ -152,6 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str, wanted: Column, rows_
 
 def score(docs: DataFrame, model: Machine | float, threshold: float = 0.5) -> DataFrame:
     """Rows of docs with score (0 to 1) and predicted."""
+    bound_batches(docs.sparkSession)
     rest = [f.name for f in docs.schema.fields if f.name not in ("score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import (BLOBS, batches, blob_rows, blob_table, concat, cut, dealt, group_count, mix, pack, prefix_hash,
+from .common import (bound_batches, BLOBS, batches, blob_rows, blob_table, concat, cut, dealt, group_count, mix, pack, prefix_hash,
                      rows_of, sliding, spread_starts, text_bytes, unpack, window_hash)
 
 TOP = np.uint64(2**64 - 1)
@@ -282,6 +282,7 @@ def marked(rules: Rules, table: pa.Table, answers, buckets: int, shards: int):
 def remove_repeats(docs: DataFrame, rules: Rules, finish: Callable, extra: T.StructType, group_bytes: int,
                    shard_bytes: int) -> DataFrame:
     """Rows of docs with the columns of `extra`, made by finish(bytes, offsets, unit offsets, covered)."""
+    bound_batches(docs.sparkSession)
     total = text_bytes(docs)
     groups, buckets, shards = (group_count(total, n) for n in (group_bytes, 4 * group_bytes, shard_bytes))
     rest = [f for f in docs.schema.fields if f.name not in {x.name for x in extra.fields}]

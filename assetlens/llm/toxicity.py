@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, LOWER, batches, pack, prefix_hash, span_hash, unpack
+from .common import bound_batches, BYTE_VALUES, LOWER, batches, pack, prefix_hash, span_hash, unpack
 from .labelled import class_counts, sample
 
 BITS, LEVELS, SHIFT, RATE_CHARS = 19, 4, 104_729, 1000
@@ -156,6 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str, wanted: Column, rows_
 
 def score(docs: DataFrame, model: Linear, threshold: float = 0.5) -> DataFrame:
     """Rows of docs with score (0 to 1) and predicted."""
+    bound_batches(docs.sparkSession)
     rest = [f.name for f in docs.schema.fields if f.name not in ("score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
