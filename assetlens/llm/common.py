@@ -8,6 +8,7 @@ documents is the same plan in each pass, so Spark reuses it and the text moves o
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 
@@ -127,6 +128,13 @@ def sliding(op, values: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on after a task, and so would what it freed."""
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        trim(0)
+
+
 def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand texts to Python in batches of at most `rows` rows: whole texts are long, and a batch is held several times."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -162,6 +170,8 @@ BLOB_SCHEMA = pa.schema([("_b", pa.int64()), ("_g", pa.int64()), ("_k", pa.int32
 
 
 def blob_table(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
+    """Packed rows, the answer of a group or bucket; what making them took is given back."""
+    release()
     if not rows:
         return BLOB_SCHEMA.empty_table()
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), BLOB_SCHEMA)], schema=BLOB_SCHEMA)

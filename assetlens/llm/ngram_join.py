@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (bound_batches, BLOBS, LOWER, batches, blob_rows, blob_table, concat, cut_lineage, dealt, group_count, mix, pack,
-                     prefix_hash, span_hash, text_bytes, unpack, window_hash, word_hashes, words)
+                     prefix_hash, release, span_hash, text_bytes, unpack, window_hash, word_hashes, words)
 from .components import components
 
 ORDERS = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93)
@@ -186,6 +186,7 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, group_
     def ship(key, table, told):
         rows = blob_rows(told)
         found = candidates(table, ids_of(rows), rows, size, buckets, percent)
+        release()
         return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found), CANDIDATE)], schema=CANDIDATE) \
             if found else CANDIDATE.empty_table()
 

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import (bound_batches, BLOBS, batches, blob_rows, blob_table, concat, cut, dealt, group_count, mix, pack, prefix_hash,
-                     rows_of, sliding, spread_starts, text_bytes, unpack, window_hash)
+                     release, rows_of, sliding, spread_starts, text_bytes, unpack, window_hash)
 
 TOP = np.uint64(2**64 - 1)
 
@@ -310,6 +310,7 @@ def remove_repeats(docs: DataFrame, rules: Rules, finish: Callable, extra: T.Str
 
     def close(table, replies):
         new = [finish(*x[1:]) for x in marked(rules, table, blob_rows(replies), buckets, shards)]
+        release()
         cols = [table[f.name].cast(arrow.field(f.name).type) for f in rest]
         cols += [pa.chunked_array([pa.array(x[f.name], arrow.field(f.name).type) for x in new], arrow.field(f.name).type)
                  for f in extra.fields]
