@@ -170,7 +170,7 @@ def score(docs: DataFrame, model: Linear, threshold: float = 0.5) -> DataFrame:
             for at, buf, off in batches(t.column("text")):
                 row, f = features(buf, off, m.orders, used)
                 z[at : at + len(off) - 1] += np.bincount(row, m.weights[f], len(off) - 1)
-            s = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+            s = np.where(z < -700, 0.0, 1 / (1 + np.exp(-np.clip(z, -700, 700))))
             cols = [t.column(c) for c in rest] + [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cols, [*rest, "score", "predicted"])
 
