@@ -87,9 +87,9 @@ class Ordered:
         d = self.df.withColumn("_v", value)
         d = d.withColumn(name, F.last("_v", True).over(w))
         if self.split:
-            tail = self.df.withColumn("_v", value).filter("_v is not null").groupBy("_chunk", *self.keys).agg(
-                F.max_by("_v", F.struct(*self.order)).alias("_tail"))
-            present = self.df.select("_chunk", *self.keys).distinct().join(tail, ["_chunk", *self.keys], "left")
+            # One aggregate: null keys form a group of their own, and keys without a value get a null tail.
+            present = self.df.withColumn("_v", value).groupBy("_chunk", *self.keys).agg(
+                F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*self.order))).alias("_tail"))
             carry = self._carried(present, lambda w2: F.last("_tail", True).over(
                 w2.rowsBetween(Window.unboundedPreceding, -1)), "_carry")
             d = self._attach(d, carry).withColumn(name, F.coalesce(name, "_carry")).drop("_carry")

@@ -201,9 +201,9 @@ def t03(spark, d):
     return M.top_n(table(spark, d, "documents").select("source", "doc_id"), ["source"], [F.col("doc_id")], 20).select("source", "doc_id")
 
 
-@query("T04_candidate_caps", """SELECT doc_id, array_to_string(list_sort(list_distinct(string_split_regex(trim(text), '\\s+')[1:400]))[1:5], '|') AS capped FROM documents""")
+@query("T04_candidate_caps", """SELECT doc_id, array_to_string(list_sort(list_distinct(string_split_regex(trim(text), '\\s+')))[1:5], '|') AS capped FROM documents""")
 def t04(spark, d):
-    words = F.slice(F.split(F.trim("text"), r"\s+"), 1, 400)
+    words = F.split(F.trim("text"), r"\s+")
     return table(spark, d, "documents").select("doc_id", F.array_join(F.slice(F.array_sort(F.array_distinct(words)), 1, 5), "|").alias("capped"))
 
 

@@ -30,6 +30,16 @@ def test_scans_match_plain_windows(spark):
     assert o.df.groupBy("_chunk").count().agg(F.max("count")).first()[0] < 1500
 
 
+def test_carry_with_null_keys(spark):
+    rows = [(None if i % 2 else i % 3, i, None if i % 7 else float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, t int, v double").persist()
+    w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    want = sorted(map(tuple, df.select("t", F.last("v", True).over(w)).collect()))
+    for rows_per_chunk in (20, 70, 1000):
+        got = Ordered(df, ["k"], ["t"], rows_per_chunk=rows_per_chunk).carry_forward(F.col("v"), "c").frame()
+        assert sorted(map(tuple, got.select("t", "c").collect())) == want
+
+
 def test_global_ordinal(spark):
     got = Ordered(frame(spark), [], ["t", "id"], rows_per_chunk=100).ordinal("n").frame().orderBy("t", "id").select("n").collect()
     assert [r[0] for r in got] == list(range(1, 3001))
