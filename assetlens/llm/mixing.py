@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .common import bound_batches, batches, concat, cut_lineage, pack, unpack, word_hashes, words
 from .labelled import class_counts, sample
 
-BITS = 17
+BITS, SMOOTH = 17, 50
 #: Domain of a labelled row: 2 * quality + toxic; the shares that the expected tokens should have.
 TARGETS = {0: 0.04, 1: 0.01, 2: 0.90, 3: 0.05}
 
@@ -66,7 +66,10 @@ def fit_domains(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> tupl
     sums = np.zeros((len(domains), 1 << BITS))
     for r in got:
         sums[r.d] = unpack(r.blob, np.int64)[0]
-    rate = np.log(sums + 0.5) - np.log(sums.sum(1, keepdims=True) + 0.5 * sums.shape[1])
+    # Smoothed towards the shares of all words; a word that no labelled text holds says nothing.
+    known = sums.sum(0) > 0
+    share = np.where(known, sums.sum(0), 1) / max(sums.sum(), 1)
+    rate = np.where(known, np.log(sums + SMOOTH * share) - np.log(sums.sum(1, keepdims=True) + SMOOTH), 0.0)
     prior = np.array([counts[d] for d in domains], float)
     return domains, np.log(prior / prior.sum()), rate - rate.mean(0)
 
