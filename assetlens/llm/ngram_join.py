@@ -11,8 +11,9 @@ positional bound; the bounds are necessary conditions, so no link is lost.
    alone; the others are written with their shingles and their repeated prefix tokens.
 3. Every class is verified against the most typical class of each of its prefix tokens: a star,
    linear in the copies. Linked classes become components.
-4. Only classes of different components are still joined on their prefix tokens. Large groups
-   are components by then, so what is left is small, and it is exact.
+4. Only classes of different components are still joined on their prefix tokens, and only on tokens
+   that several components hold. Rows of a token's largest component meet the rows outside it, never
+   each other, so a group of copies is never compared pair by pair. This is exact.
 
 Results: null and empty texts have no shingles and link with nothing; a text of fewer words than
 a shingle is one shingle; repeated rows belong to one class; rows without doc_id get the component
@@ -213,9 +214,18 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, group_
     near = components(links)
     label = F.coalesce("root", "c")
     placed = entry.join(near.withColumnRenamed("node", "c"), "c", "left").select("c", "n", "o", "key", "pos", label.alias("r"))
+    # Tokens held by one component alone need no join; of the others, rows of the token's largest component
+    # are never paired among themselves, so a crowd of copies costs one comparison for each row outside it.
+    mixed = placed.groupBy("o", "key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi")
+    placed = cut_lineage(placed.join(mixed.select("o", "key"), ["o", "key"], "left_semi"), spark)
+    largest = placed.groupBy("o", "key", "r").count().groupBy("o", "key").agg(
+        F.max(F.struct("count", "r")).alias("most")).select("o", "key", F.col("most.r").alias("big"))
+    outside = placed.join(largest, ["o", "key"]).where("r <> big")
     other = placed.select("o", "key", *(F.col(x).alias(f"y{x}") for x in ("c", "n", "pos", "r")))
-    rest = placed.join(other, ["o", "key"]).where((F.col("c") > F.col("yc")) & (F.col("r") != F.col("yr")) & bounds)
-    rest = rest.groupBy(F.col("c").alias("a"), F.col("yc").alias("b")).agg(F.bit_or(F.expr("shiftleft(1, o)")).alias("m"))
+    rest = outside.join(other, ["o", "key"]).where(
+        (F.col("r") != F.col("yr")) & ((F.col("yr") == F.col("big")) | (F.col("c") > F.col("yc"))) & bounds)
+    rest = rest.select("o", F.greatest("c", "yc").alias("a"), F.least("c", "yc").alias("b"))
+    rest = rest.groupBy("a", "b").agg(F.bit_or(F.expr("shiftleft(1, o)")).alias("m"))
     rest = rest.where(F.col("m") == (1 << len(ORDERS)) - 1).select("a", "b")
     links = links.unionByName(verified(rest, sets, percent))
     group = components(links)

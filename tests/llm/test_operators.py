@@ -84,20 +84,61 @@ def test_suffix_array_and_prefixes():
         assert lcp[b] == next((i for i in range(min(len(x), len(y))) if x[i] != y[i]), min(len(x), len(y)))
 
 
-def test_ngram_join(docs):
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard_join(docs).collect()}
+def linked(rows):
+    """(set size, smallest doc_id that links reach) of each document, over all pairs."""
     sets = {}
-    for i, t, _ in texts():
+    for i, t in rows:
         w = WORD.findall((t or "").translate(LOWER))
         sets[i] = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
     root = {i: i for i in sets}
-    for _ in sets:
-        for a in sets:
-            for b in sets:
-                i = len(sets[a] & sets[b])
-                if i and 100 * i >= 75 * len(sets[a] | sets[b]):
-                    root[a] = root[b] = min(root[a], root[b])
-    assert got == {i: (len(s), root[i]) for i, s in sets.items()}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            i = len(sets[a] & sets[b])
+            if a < b and i and 100 * i >= 75 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {i: (len(s), top(i)) for i, s in sets.items()}
+
+
+def test_ngram_join(docs):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard_join(docs).collect()}
+    assert got == linked([(i, t) for i, t, _ in texts()])
+
+
+def test_ngram_join_drifting_copies(spark):
+    """A crowd of copies, chains that drift away from it, and others that share only a part of it."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(400)}" for _ in range(60)]
+    rows = []
+
+    def edited(w, n):
+        w = list(w)
+        for k in rng.sample(range(len(w)), n):
+            w[k] = f"e{rng.randrange(50)}"
+        return w
+
+    for _ in range(40):
+        rows.append(edited(base, rng.choice([0, 1, 1, 2])))
+    for _ in range(8):
+        w = base
+        for _ in range(6):
+            w = edited(w, 1)
+            rows.append(w)
+    for _ in range(12):
+        k = rng.randrange(20, 55)
+        rows.append(base[:k] + [f"o{rng.randrange(9999)}" for _ in range(60 - k)])
+    rng.shuffle(rows)
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == linked(rows)
+    assert 1 < len({c for _, c in got.values()}) < len(rows)
 
 
 def test_decontaminate(spark, docs):
