@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (bound_batches, BLOBS, LOWER, batches, blob_rows, blob_table, concat, cut_lineage, dealt, group_count, mix, pack,
-                     prefix_hash, release, span_hash, text_bytes, unpack, window_hash, word_hashes, words)
+                     prefix_hash, release, span_hash, text_bytes, unpack, window_hash,
+                     word_hashes, words, written)
 from .components import components
 
 ORDERS = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93)
@@ -208,16 +209,23 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, group_
 
     typical = entry.groupBy("o", "key").agg(F.min(F.struct("pos", "c", "n")).alias("y")).select(
         "o", "key", F.col("y.c").alias("yc"), F.col("y.n").alias("yn"), F.col("y.pos").alias("ypos"))
-    star = entry.join(typical, ["o", "key"]).where((F.col("c") != F.col("yc")) & bounds).select(
-        F.greatest("c", "yc").alias("a"), F.least("c", "yc").alias("b")).distinct()
+    met = entry.join(typical, ["o", "key"]).where(F.col("c") != F.col("yc")).select("o", "key", "c", "yc", bounds.alias("near"))
+    met = written(met, spark)
+    star = met.where("near").select(F.greatest("c", "yc").alias("a"), F.least("c", "yc").alias("b")).distinct()
     links = cut_lineage(verified(star, sets, percent), spark)
     near = components(links)
     label = F.coalesce("root", "c")
-    placed = entry.join(near.withColumnRenamed("node", "c"), "c", "left").select("c", "n", "o", "key", "pos", label.alias("r"))
-    # Tokens held by one component alone need no join; of the others, rows of the token's largest component
-    # are never paired among themselves, so a crowd of copies costs one comparison for each row outside it.
-    mixed = placed.groupBy("o", "key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi")
-    placed = cut_lineage(placed.join(mixed.select("o", "key"), ["o", "key"], "left_semi"), spark)
+
+    # Tokens held by one component alone need no join: there, each row is of the component of the most typical one.
+    # Of the others, rows of the token's largest component are never paired among themselves, so a crowd of copies
+    # costs one comparison for each row outside it.
+    roots = near.withColumnRenamed("node", "c")
+    mixed = met.join(roots, "c", "left").select("o", "key", "yc", label.alias("r")).join(
+        near.select(F.col("node").alias("yc"), "root"), "yc", "left").where(F.col("r") != F.coalesce("root", "yc"))
+    mixed = written(mixed.select("o", "key").distinct(), spark)
+    placed = entry.join(mixed, ["o", "key"], "left_semi").join(roots, "c", "left").select(
+        "c", "n", "o", "key", "pos", label.alias("r"))
+    placed = cut_lineage(placed, spark)
     largest = placed.groupBy("o", "key", "r").count().groupBy("o", "key").agg(
         F.max(F.struct("count", "r")).alias("most")).select("o", "key", F.col("most.r").alias("big"))
     outside = placed.join(largest, ["o", "key"]).where("r <> big")
