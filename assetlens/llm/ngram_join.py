@@ -2,15 +2,16 @@
 
 Texts that share `percent` of their shingles share a token among the first few under any order
 of all tokens. Three orders are used, each by document frequency (rare first), with different
-ties. A pair is verified only if it meets under every order and passes the length and the
-positional bound; the bounds are necessary conditions, so no link is lost.
+ties. Pairs are found under the first order, with the length and the positional bound, and are
+verified only if they share a prefix token under every other order too. All of these are necessary
+conditions, so no link is lost.
 
 1. Texts with equal shingle sets become one class (their copies are never paired).
 2. Document frequencies: groups send the tokens of class representatives to buckets, 4 bytes a
    token, and get a frequency level back. Classes without a repeated token in every prefix are
    alone; the others are written with their shingles and their repeated prefix tokens.
-3. Every class is verified against the most typical class of each of its prefix tokens: a star,
-   linear in the copies. Linked classes become components.
+3. Every class meets the most typical class of each of its prefix tokens: a star, linear in the
+   copies. Linked classes become components.
 4. Only classes of different components are still joined on their prefix tokens, and only on tokens
    that several components hold. Rows of a token's largest component meet the rows outside it, never
    each other, so a group of copies is never compared pair by pair. This is exact.
@@ -122,7 +123,10 @@ def levels(bucket: pa.Table) -> pa.Table:
 
 
 def candidates(table: pa.Table, ids: np.ndarray, replies, size: int, buckets: int, percent: int) -> list[tuple]:
-    """(class, size, shingles, prefix entries) of the classes with a repeated token in every prefix."""
+    """(class, size, shingles, prefix) of the classes with a repeated token in every prefix.
+
+    The prefix is the repeated tokens under the first order with their positions, and those under each other order.
+    """
     by = {b: unpack(x, np.uint8)[0] for b, _, k, x in replies if k == 0}
     told = group_tokens(table, ids, size, buckets)
     keys = concat([(np.uint64(b) << np.uint64(32)) | k.astype(np.uint64) for b, k, _ in told], np.uint64)
@@ -140,25 +144,28 @@ def candidates(table: pa.Table, ids: np.ndarray, replies, size: int, buckets: in
                 continue
             seen.add(c)
             t, lv, m = token[ends[r] : ends[r + 1]], level[ends[r] : ends[r + 1]].astype(np.int64), int(prefix[r])
-            entries = []
-            for o, salt in enumerate(ORDERS):
+            prefixes = []
+            for salt in ORDERS:
                 by_order = np.lexsort((mix(t ^ np.uint64(salt)), lv))[:m]
                 pos = np.flatnonzero(lv[by_order] > 0)
-                entries.append((np.full(len(pos), o), t[by_order[pos]].view(np.int64), pos))
-            o, key, pos = (np.concatenate(x) for x in zip(*entries))
-            out.append((c, int(n[r]), t.view(np.int64), o, key, pos))
+                prefixes.append((t[by_order[pos]].view(np.int64), pos))
+            key, pos = prefixes[0]
+            out.append((c, int(n[r]), t.view(np.int64), key, pos, [k for k, _ in prefixes[1:]]))
     return out
 
 
-CANDIDATE = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64())), ("o", pa.list_(pa.int32())),
-                       ("key", pa.list_(pa.int64())), ("pos", pa.list_(pa.int64()))])
+CANDIDATE = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64())), ("key", pa.list_(pa.int64())),
+                       ("pos", pa.list_(pa.int64())), ("more", pa.list_(pa.list_(pa.int64())))])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets overlap enough."""
-    left = sets.select(F.col("c").alias("a"), F.col("n").alias("an"), F.col("tokens").alias("at"))
-    right = sets.select(F.col("c").alias("b"), F.col("n").alias("bn"), F.col("tokens").alias("bt"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("at", "bt")))
+    """The pairs (a, b) of classes that meet under every other order and whose sets overlap enough."""
+    left, right = (sets.select(F.col("c").alias(x), F.col("n").alias(f"{x}n"), F.col("tokens").alias(f"{x}t"),
+                               F.col("more").alias(f"{x}m")) for x in "ab")
+    both = pairs.join(left, "a").join(right, "b")
+    for order in range(len(ORDERS) - 1):
+        both = both.where(F.arrays_overlap(F.col("am")[order], F.col("bm")[order]))
+    both = both.withColumn("i", F.size(F.array_intersect("at", "bt")))
     return both.where(100 * F.col("i") >= percent * (F.col("an") + F.col("bn") - F.col("i"))).select("a", "b")
 
 
@@ -196,37 +203,34 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, group_
     sent = own.groupBy("_g").cogroup(listed.groupBy("_g")).applyInArrow(lambda k, a, b: send(k, a, b), BLOBS)
     told = sent.groupBy("_b").applyInArrow(answer, BLOBS).unionByName(listed)
     found = own.groupBy("_g").cogroup(told.groupBy("_g")).applyInArrow(
-        lambda k, a, b: ship(k, a, b), "c long, n long, tokens array<long>, o array<int>, key array<long>, pos array<long>")
+        lambda k, a, b: ship(k, a, b), "c long, n long, tokens array<long>, key array<long>, pos array<long>, more array<array<long>>")
     found = cut_lineage(found, spark)
-    sets = found.select("c", "n", "tokens")
-    entry = found.select("c", "n", F.explode(F.arrays_zip("o", "key", "pos")).alias("e")).select(
-        "c", "n", "e.o", "e.key", "e.pos")
+    sets = found.select("c", "n", "tokens", "more")
+    entry = found.select("c", "n", F.explode(F.arrays_zip("key", "pos")).alias("e")).select("c", "n", "e.key", "e.pos")
 
     # The overlap that two linked sets need, and what their first common token leaves of each.
     need = F.ceil(F.lit(percent) * (F.col("n") + F.col("yn")) / (100 + percent))
     bounds = (F.col("n") - F.col("pos") >= need) & (F.col("yn") - F.col("ypos") >= need)
 
-    typical = entry.groupBy("o", "key").agg(F.min(F.struct("pos", "c", "n")).alias("y")).select(
-        "o", "key", F.col("y.c").alias("yc"), F.col("y.n").alias("yn"), F.col("y.pos").alias("ypos"))
-    star = entry.join(typical, ["o", "key"]).where((F.col("c") != F.col("yc")) & bounds).select(
+    typical = entry.groupBy("key").agg(F.min(F.struct("pos", "c", "n")).alias("y")).select(
+        "key", F.col("y.c").alias("yc"), F.col("y.n").alias("yn"), F.col("y.pos").alias("ypos"))
+    star = entry.join(typical, "key").where((F.col("c") != F.col("yc")) & bounds).select(
         F.greatest("c", "yc").alias("a"), F.least("c", "yc").alias("b")).distinct()
     links = cut_lineage(verified(star, sets, percent), spark)
     near = components(links)
     label = F.coalesce("root", "c")
-    placed = entry.join(near.withColumnRenamed("node", "c"), "c", "left").select("c", "n", "o", "key", "pos", label.alias("r"))
+    placed = entry.join(near.withColumnRenamed("node", "c"), "c", "left").select("c", "n", "key", "pos", label.alias("r"))
     # Tokens held by one component alone need no join; of the others, rows of the token's largest component
     # are never paired among themselves, so a crowd of copies costs one comparison for each row outside it.
-    mixed = placed.groupBy("o", "key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi")
-    placed = cut_lineage(placed.join(mixed.select("o", "key"), ["o", "key"], "left_semi"), spark)
-    largest = placed.groupBy("o", "key", "r").count().groupBy("o", "key").agg(
-        F.max(F.struct("count", "r")).alias("most")).select("o", "key", F.col("most.r").alias("big"))
-    outside = placed.join(largest, ["o", "key"]).where("r <> big")
-    other = placed.select("o", "key", *(F.col(x).alias(f"y{x}") for x in ("c", "n", "pos", "r")))
-    rest = outside.join(other, ["o", "key"]).where(
+    mixed = placed.groupBy("key").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi")
+    placed = cut_lineage(placed.join(mixed.select("key"), "key", "left_semi"), spark)
+    largest = placed.groupBy("key", "r").count().groupBy("key").agg(
+        F.max(F.struct("count", "r")).alias("most")).select("key", F.col("most.r").alias("big"))
+    outside = placed.join(largest, "key").where("r <> big")
+    other = placed.select("key", *(F.col(x).alias(f"y{x}") for x in ("c", "n", "pos", "r")))
+    rest = outside.join(other, "key").where(
         (F.col("r") != F.col("yr")) & ((F.col("yr") == F.col("big")) | (F.col("c") > F.col("yc"))) & bounds)
-    rest = rest.select("o", F.greatest("c", "yc").alias("a"), F.least("c", "yc").alias("b"))
-    rest = rest.groupBy("a", "b").agg(F.bit_or(F.expr("shiftleft(1, o)")).alias("m"))
-    rest = rest.where(F.col("m") == (1 << len(ORDERS)) - 1).select("a", "b")
+    rest = rest.select(F.greatest("c", "yc").alias("a"), F.least("c", "yc").alias("b")).distinct()
     links = links.unionByName(verified(rest, sets, percent))
     group = components(links)
     one = reps.withColumnRenamed("doc_id", "_first").join(group.withColumnRenamed("node", "_c"), "_c", "left").withColumn(
