@@ -7,7 +7,7 @@ verified only if they share a prefix token under every other order too. All of t
 conditions, so no link is lost.
 
 1. Texts with equal shingle sets become one class (their copies are never paired).
-2. Document frequencies: groups send the tokens of class representatives to buckets, 4 bytes a
+2. Document frequencies: groups send the tokens of class representatives to buckets, 3 bytes a
    token, and get a frequency level back. Classes without a repeated token in every prefix are
    alone; the others are written with their shingles and their repeated prefix tokens.
 3. Every class meets the most typical class of each of its prefix tokens: a star, linear in the
@@ -86,9 +86,19 @@ def own_sets(table: pa.Table, ids: np.ndarray, size: int):
 
 
 def place(token: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and 4-byte key of tokens; two tokens with both equal only share their level."""
+    """Bucket and 3-byte key of tokens; two tokens with both equal only share their level."""
     h = mix(token)
-    return ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    return ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), (h & np.uint64(0xFFFFFF)).astype(np.uint32)
+
+
+def planes(keys: np.ndarray) -> list[np.ndarray]:
+    """The three bytes of each key, low bytes first; of sorted keys the high bytes shrink well."""
+    return [(keys >> np.uint32(8 * i)).astype(np.uint8) for i in range(3)]
+
+
+def joined(low: np.ndarray, mid: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Keys from their bytes."""
+    return low | (mid.astype(np.uint32) << np.uint32(8)) | (high.astype(np.uint32) << np.uint32(16))
 
 
 def group_tokens(table: pa.Table, ids: np.ndarray, size: int, buckets: int):
@@ -107,7 +117,7 @@ def group_tokens(table: pa.Table, ids: np.ndarray, size: int, buckets: int):
 def levels(bucket: pa.Table) -> pa.Table:
     """Frequency level (0: once, then by powers of two) of each key that each group sent."""
     rows = blob_rows(bucket)
-    lists = [unpack(x, np.uint32, np.uint8) for *_, x in rows]
+    lists = [(joined(*key), n) for *key, n in (unpack(x, *[np.uint8] * 4) for *_, x in rows)]
     keys = concat([k for k, _ in lists], np.uint32)
     order = np.argsort(keys)
     head = np.r_[True, keys[order][1:] != keys[order][:-1]][: len(keys)]
@@ -125,7 +135,8 @@ def levels(bucket: pa.Table) -> pa.Table:
 def candidates(table: pa.Table, ids: np.ndarray, replies, size: int, buckets: int, percent: int) -> list[tuple]:
     """(class, size, shingles, prefix) of the classes with a repeated token in every prefix.
 
-    The prefix is the repeated tokens under the first order with their positions, and those under each other order.
+    The prefix is the repeated tokens under the first order with their positions, and 4 bytes of those under each
+    other order: these only filter.
     """
     by = {b: unpack(x, np.uint8)[0] for b, _, k, x in replies if k == 0}
     told = group_tokens(table, ids, size, buckets)
@@ -150,12 +161,12 @@ def candidates(table: pa.Table, ids: np.ndarray, replies, size: int, buckets: in
                 pos = np.flatnonzero(lv[by_order] > 0)
                 prefixes.append((t[by_order[pos]].view(np.int64), pos))
             key, pos = prefixes[0]
-            out.append((c, int(n[r]), t.view(np.int64), key, pos, [k for k, _ in prefixes[1:]]))
+            out.append((c, int(n[r]), t.view(np.int64), key, pos, [k.astype(np.int32) for k, _ in prefixes[1:]]))
     return out
 
 
 CANDIDATE = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64())), ("key", pa.list_(pa.int64())),
-                       ("pos", pa.list_(pa.int64())), ("more", pa.list_(pa.list_(pa.int64())))])
+                       ("pos", pa.list_(pa.int64())), ("more", pa.list_(pa.list_(pa.int32())))])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -186,7 +197,7 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, group_
 
     def send(key, table, own):
         found = group_tokens(table, ids_of(blob_rows(own)), size, buckets)
-        return blob_table([(b, key[0].as_py(), 0, pack(k, n)) for b, k, n in found])
+        return blob_table([(b, key[0].as_py(), 0, pack(*planes(k), n)) for b, k, n in found])
 
     def answer(table):
         return levels(table)
@@ -203,7 +214,7 @@ def ngram_jaccard_join(docs: DataFrame, size: int = 5, percent: int = 75, group_
     sent = own.groupBy("_g").cogroup(listed.groupBy("_g")).applyInArrow(lambda k, a, b: send(k, a, b), BLOBS)
     told = sent.groupBy("_b").applyInArrow(answer, BLOBS).unionByName(listed)
     found = own.groupBy("_g").cogroup(told.groupBy("_g")).applyInArrow(
-        lambda k, a, b: ship(k, a, b), "c long, n long, tokens array<long>, key array<long>, pos array<long>, more array<array<long>>")
+        lambda k, a, b: ship(k, a, b), "c long, n long, tokens array<long>, key array<long>, pos array<long>, more array<array<int>>")
     found = cut_lineage(found, spark)
     sets = found.select("c", "n", "tokens", "more")
     entry = found.select("c", "n", F.explode(F.arrays_zip("key", "pos")).alias("e")).select("c", "n", "e.key", "e.pos")
