@@ -200,6 +200,17 @@ IDENTITY_STOP_PREFIXES = [
 ]
 NOT_A_CODE = ["development code", "generic name", "brand name", "type of drug", "modality"]
 NOT_A_PLACEHOLDER = ["phase", "nme", "nmes", "ai", "ais", "us", "eu"]
+BRAND_USE_ENDINGS = ["for intravenous use", "for oral use", "for injection"]
+BRAND_FORM_ENDINGS = ["tablet", "tablets", "capsule", "capsules", "injection"]
+BLOCK_TAGS = [
+    "address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure",
+    "footer", "form", "h[1-6]", "header", "hr", "li", "main", "nav", "ol", "p", "pre", "section", "table", "tbody",
+    "td", "tfoot", "th", "thead", "tr", "ul",
+]
+INDICATION_STARTS = ["1 INDICATIONS AND USAGE", "INDICATIONS AND USAGE", "INDICATIONS"]
+INDICATION_ENDS = [
+    "2 DOSAGE AND ADMINISTRATION", "DOSAGE AND ADMINISTRATION", "4 CONTRAINDICATIONS", "CONTRAINDICATIONS", "WARNINGS",
+]
 BRAND_STOP = ["for", "and", "the", "injection", "tablet", "tablets", "capsule", "capsules"]
 LEAFLET_WORDS = [
     "medication guide", "patient information", "patient leaflet", "instructions for use", "ifu",
@@ -333,3 +344,8 @@ SHEET_HEADERS = {
 
 # ---- quality gates -------------------------------------------------------
 REJECT_LIMITS = {"a": (3, 0.10), "b": (3, 0.15), "c": (3, 0.20), "d": (5, 0.25), "e": (0, 0.0)}
+
+
+def spaced(phrase: str) -> str:
+    """Pattern of a phrase with any white space between its words."""
+    return r"\s+".join(phrase.split(" "))

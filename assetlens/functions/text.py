@@ -6,6 +6,7 @@ import functools
 import re
 import sys
 import unicodedata
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -272,15 +273,50 @@ def control_digits(c) -> Column:
     return F.translate(text_or_blank(c), "".join(chr(i) for i in range(19, 29)) + other, "0123456789")
 
 
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-            ("&reg;", "®"), ("&trade;", "™"), ("&amp;", "&")]
+#: Entity names with their text, and those that may lack the semicolon, from Python's own table of the HTML standard.
+ENTITIES = {name: text.replace("\u00a0", " ") for name, text in html5.items()}
+BARE = "|".join(sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True))
+ENTITY = rf"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{{0,31}};|(?:{BARE}))"
+#: References to 128..159 mean the Windows code page, as the HTML standard says.
+C1 = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)]
+
+
+def _code_point(t: Column) -> Column:
+    """Number in a numeric reference; one past the last code point when it is too long."""
+    digits = F.regexp_extract(t, "^&#[xX]?0*([0-9a-fA-F]*)", 1)
+    number = F.when(t.rlike("^&#[xX]"), F.conv(F.concat(F.lit("0"), digits), 16, 10)).otherwise(
+        F.concat(F.lit("0"), digits)).cast("long")
+    return F.when(F.length(digits) <= 8, number).otherwise(F.lit(0x110000).cast("long"))
+
+
+def _numeric(n: Column) -> Column:
+    """Text of a numeric reference: U+FFFD for what is no character, nothing for control characters."""
+    none = (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+    control = (n.between(1, 31) & ~n.isin(9, 10, 12, 13)) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (n % 0x10000 >= 0xFFFE)
+    plain = F.when(none, F.lit(32)).otherwise(n)
+    return (F.when(none, F.lit("\ufffd"))
+            .when(n.between(0x80, 0x9F), F.get(F.array(*map(F.lit, C1)), (n - 0x80).cast("int")))
+            .when(n == 0xA0, F.lit(" ")).when(control, F.lit(""))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(plain), 8, "0")), "UTF-32")))
 
 
 def unescape(c: Column) -> Column:
-    """Named entities that carry meaning here; ``&amp;`` last so it is not re-read."""
-    for a, b in ENTITIES:
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+    """Character references of HTML as text, each read once; a no-break space becomes a space.
+
+    Names need their semicolon unless the standard lets it go; unknown names stay as they are.
+    """
+    names = F.str_to_map(F.lit("\u0001".join(f"{k}\u0002{v}" for k, v in ENTITIES.items())), F.lit("\u0001"), F.lit("\u0002"))
+
+    def named(t):
+        bare = F.regexp_extract(t, f"^&({BARE})", 1)
+        return F.coalesce(F.try_element_at(names, F.substr(t, F.lit(2))),
+                          F.when(bare != "", F.concat(F.try_element_at(names, bare), F.substr(t, F.length(bare) + 2))), t)
+
+    found = F.transform(F.regexp_extract_all(c, F.lit(ENTITY), 0), lambda t: F.struct(
+        t.alias("t"), F.when(t.startswith("&#"), _code_point(t)).alias("n")))
+    texts = F.transform(found, lambda e: F.when(e["n"].isNotNull(), _numeric(e["n"])).otherwise(named(e["t"])))
+    read = F.array_join(F.zip_with(F.split(c, ENTITY, -1), texts, lambda gap, x: F.concat(gap, F.coalesce(x, F.lit("")))), "")
+    return F.when(c.contains("&"), read).otherwise(c)
 
 
 def strip_html(c) -> Column:

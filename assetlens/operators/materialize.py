@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,13 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names. A temporary one stands in on a local master only."""
+    """The folder the cluster names; on a local master the session's warehouse can stand in."""
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="assetlens-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -37,9 +37,9 @@ def h03(spark, d):
     return H.anchors(table(spark, d, "pages"), "page_id", "url", "html")
 
 
-_L = ("replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<!--[\\s\\S]*?-->', ' ', 'g'), "
+_L = ("regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<!--[\\s\\S]*?-->', ' ', 'g'), "
       "'(?i)<script\\b[^>]*>[\\s\\S]*?</script>', ' ', 'g'), '(?i)<style\\b[^>]*>[\\s\\S]*?</style>', ' ', 'g'), '\\s+', ' ', 'g'), "
-      f"'(?i)</?({H.BLOCK})\\b[^>]*>', chr(10), 'g'), '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&')")
+      f"'(?i)</?({H.BLOCK})\\b[^>]*>', chr(10), 'g'), '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g')")
 
 
 @query("H04_visible_lines", f"""WITH l AS (SELECT page_id, list_filter(list_transform(string_split({_L}, chr(10)), lambda v: trim(regexp_replace(v, '\\s+', ' ', 'g'))), lambda v: v <> '') AS ls FROM pages)

@@ -112,10 +112,10 @@ scalar_cases("N09_control_digits", T.control_digits, [
     ("AB\x13\x14\x1c {n}", "AB019 {n}"), ("\x01x\x02{n}\t", "x{n}\t"), ("{n}\x15\x16\x17", "{n}234")])
 
 
-STRIP_SQL = """trim(regexp_replace(replace(replace(replace(replace(replace(replace(
+STRIP_SQL = """trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(replace(
   regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '<!--[\\s\\S]*?-->', ' ', 'g'),
   '(?i)<script\\b[^>]*>[\\s\\S]*?</script>', ' ', 'g'), '(?i)<style\\b[^>]*>[\\s\\S]*?</style>', ' ', 'g'),
-  '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&'), '\\s+', ' ', 'g'))"""
+  '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))"""
 
 
 @query("N10_strip_html", f"SELECT page_id, {STRIP_SQL} AS visible FROM pages")
@@ -123,6 +123,14 @@ def n10(spark, d):
     return table(spark, d, "pages").select("page_id", T.strip_html("html").alias("visible"))
 
 
+@query("N10_entities", "SELECT doc_id, replace(replace(replace(replace(translate(text, '&;#', ''), 'a', '’'), 'e', 'é'), 'q', '≥'), 'z', '–') AS text FROM documents")
+def n10_entities(spark, d):
+    x = F.translate("text", "&;#", "")
+    for letter, entity in (("a", "&#8217;"), ("e", "&#xE9;"), ("q", "&ge;"), ("z", "&ndash;")):
+        x = F.replace(x, F.lit(letter), F.lit(entity))
+    return table(spark, d, "documents").select("doc_id", T.unescape(x).alias("text"))
+
+
 @query("N11_key_norm", "SELECT DISTINCT trim(regexp_replace(lower(p_type || '-' || p_brand || '/'), '[^a-z0-9]+', '_', 'g'), '_') AS key FROM part")
 def n11(spark, d):
     return table(spark, d, "part").select(T.norm_key(F.concat("p_type", F.lit("-"), "p_brand", F.lit("/"))).alias("key")).distinct()
