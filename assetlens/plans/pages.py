@@ -75,6 +75,17 @@ def h18(spark, d):
     return docs.select("doc_id", H.indication_section(label).alias("section"))
 
 
+# Every document, whatever its length. An even doc_id has an end heading, which sets the end; without one the section is
+# cut at 16,000 characters of the label, counted once runs of blanks and blank lines are shortened.
+@query("H18_indication_section_whole", """WITH l AS (SELECT doc_id, '1 INDICATIONS AND USAGE' || chr(10) || 'is indicated for ' || coalesce(text, '') AS raw FROM documents),
+s AS (SELECT doc_id, regexp_replace(regexp_replace(replace(raw, chr(13), chr(10)), '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g') AS tail FROM l)
+SELECT doc_id, trim(regexp_replace(CASE WHEN doc_id % 2 = 0 THEN tail ELSE substr(tail, 1, 16000) END, '\\s+', ' ', 'g')) AS section FROM s""")
+def h18_whole(spark, d):
+    end = F.when(F.col("doc_id") % 2 == 0, "\n2  DOSAGE AND ADMINISTRATION\nx").otherwise("")
+    label = F.concat(F.lit("INDICATIONS\nsee below\nDOSAGE AND ADMINISTRATION\n1 INDICATIONS AND USAGE\nis indicated for "), F.coalesce("text", F.lit("")), end)
+    return table(spark, d, "documents").select("doc_id", H.indication_section(label).alias("section"))
+
+
 @query("H19_strategy_choice", """SELECT user_id, arg_max(event_type, (n, -o)) AS method, max(n) AS n FROM (SELECT user_id, event_type, count(*) AS n,
   CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'signup' THEN 3 WHEN 'purchase' THEN 4 ELSE 5 END AS o FROM events GROUP BY 1, 2) GROUP BY 1""")
 def h19(spark, d):
