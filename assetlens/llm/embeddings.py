@@ -7,9 +7,9 @@ recall on disturbed sample vectors, and is compared in double precision with all
 label there. A pair is looked for from its smaller id only, so it is counted once.
 
 Equal vectors of a label are one class with a multiplicity, so copies are never paired. A task
-holds one first-half code of one label; large ones are split into bounded parts of the vectors
-that are looked up, and the vectors that look go to each part. A task emits counts and a spanning
-forest of its links, never the links themselves.
+holds one first-half code of one label; a crowded one is cut further by the second code, and both
+the vectors that are looked up and those that look are dealt into bounded parts that all meet. A
+task emits counts and a spanning forest of its links, never the links themselves.
 
 Results: vectors without label, that are null, empty, zero, or hold a null or a component that is
 not finite link with nothing and stand alone; vectors of different length do not link; rows
@@ -208,12 +208,8 @@ def embedding_dedup(vectors: DataFrame, least: float = 0.93, recall: float = 0.9
     else:
         placed = classes.withColumn("label", F.col("label").cast("int")).mapInArrow(
             code, "label int, dim int, i int, look boolean, id long, m long, j int, js array<int>, vec array<float>")
-        parts = classes_parts(placed, part_rows)
-        # Large blocks are split: a vector to look up goes to one part, a looking vector to all.
-        put = placed.join(parts, ["label", "dim", "i"]).withColumn("part", F.explode(F.when(
-            F.col("look"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(
-            F.array(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))))
-        found = cut_lineage(put.groupBy("label", "dim", "i", "part").applyInArrow(compare, "a long, b long, n long"), spark)
+        put = dealt_blocks(placed, part_rows)
+        found = cut_lineage(put.groupBy(*BLOCK).applyInArrow(compare, "a long, b long, n long"), spark)
     counts = found.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     group = components(found.where("b is not null")).withColumnRenamed("node", "id")
     named = classes.join(counts, "id", "left").join(group, "id", "left").select(
@@ -225,7 +221,36 @@ def embedding_dedup(vectors: DataFrame, least: float = 0.93, recall: float = 0.9
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
-def classes_parts(placed: DataFrame, part_rows: int) -> DataFrame:
-    """Parts that each block of vectors is split into."""
-    return placed.where(~F.col("look")).groupBy("label", "dim", "i").agg(
-        F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
+BLOCK = ("label", "dim", "i", "sub", "part", "ask_part")
+
+
+def dealt_blocks(placed: DataFrame, part_rows: int) -> DataFrame:
+    """The rows of placed with the blocks they go to: about part_rows vectors that are looked up and as many that look.
+
+    A first code with more vectors is cut by its second code (sub; else -1). A vector that is looked up goes to
+    one part of its block and to all ask parts, a vector that looks to one ask part and to all parts.
+    """
+    key = ["label", "dim", "i"]
+    cells = placed.select(*key, "look", F.posexplode(F.when(F.col("look"), F.col("js")).otherwise(F.array("j"))).alias("pos", "sub"))
+    cells = cells.groupBy(*key, "sub").agg(
+        F.count_if(~F.col("look")).alias("b"), F.count_if("look").alias("a"), F.count_if(F.col("look") & (F.col("pos") == 0)).alias("lead"))
+    split = lambda n: F.ceil(n / part_rows).cast("int")
+    entry = lambda sub, b, a: F.struct(sub.alias("key"), F.struct(split(b).alias("parts"), split(a).alias("asks")).alias("value"))
+    # At most one entry for each second code.
+    full = (F.col("b") > 0) & (F.col("a") > 0)
+    plan = cells.groupBy(*key).agg(
+        F.sum("b").alias("b"), F.sum("lead").alias("lead"),
+        F.collect_list(F.when(full, entry(F.col("sub"), F.col("b"), F.col("a")))).alias("by"))
+    crowded = F.col("b") > part_rows
+    plan = plan.where("b > 0 and lead > 0").select(*key, crowded.alias("crowded"), F.map_from_entries(F.when(
+        crowded, F.col("by")).otherwise(F.array(entry(F.lit(-1), F.col("b"), F.col("lead"))))).alias("plan"))
+    sub = F.when(~F.col("crowded"), F.array(F.lit(-1))).when(F.col("look"), F.col("js")).otherwise(F.array("j"))
+    rows = placed.join(plan, key).withColumn("sub", F.explode(sub))
+    rows = rows.withColumn("js", F.when(F.col("look") & F.col("crowded"), F.array("sub")).otherwise(F.col("js")))
+    rows = rows.withColumn("cut", F.try_element_at("plan", "sub")).where("cut is not null")
+    one = lambda n: F.array(F.pmod(F.xxhash64("id"), n).cast("int"))
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    parts, asks = F.col("cut.parts"), F.col("cut.asks")
+    rows = rows.withColumn("part", F.explode(F.when(F.col("look"), every(parts)).otherwise(one(parts))))
+    rows = rows.withColumn("ask_part", F.explode(F.when(F.col("look"), one(asks)).otherwise(every(asks))))
+    return rows.select(*placed.columns, *BLOCK[3:])
