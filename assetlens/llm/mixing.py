@@ -5,10 +5,16 @@ every document its domain posteriors. Nonnegative rates r of the documents are t
 that the expected tokens of each domain, sum of r * tokens * posterior, match target shares of
 all tokens, and stay near 1 otherwise:
 
-    1/2 |expected / total - target|^2 + ridge / 2 * sum of (tokens / total) * (r - 1)^2
+    1/2 sum over domains of (expected / total - target)^2 / weight
+        + ridge / 2 * sum of (tokens / total) * (r - 1)^2
 
-by accelerated projected gradient steps. A step needs one number a domain from a distributed sum;
-a document's rate follows from its posteriors and the residuals so far, so no state is kept.
+where the weight of a domain is its share of the tokens, so that the ridge holds back a rare domain no
+more than a common one. The best rates are max(0, 1 + posterior . force) with one force a domain; the
+forces are found by Newton steps on the dual, which is convex, until its gradient vanishes. A step needs
+a few numbers a domain from a distributed sum, and no state is kept with the documents.
+
+expected and target tell, by domain, the shares of all tokens that the rates give and that were wanted;
+they differ where no nonnegative rates reach the target. A document may get rate 0.
 
 Results: null and empty texts have no tokens, the posteriors of the prior alone, and a rate like
 any other; repeated rows each get the same rate; without labelled rows all rates are 1; domains that
@@ -75,7 +81,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> tupl
 
 
 def rows_of(docs: DataFrame) -> list[T.StructField]:
-    return [f for f in docs.schema.fields if f.name not in ("n_tokens", "posterior", "rate")]
+    return [f for f in docs.schema.fields if f.name not in ("n_tokens", "posterior", "rate", "expected", "target")]
 
 
 def posteriors(docs: DataFrame, prior: np.ndarray, rate: np.ndarray, keep: list[T.StructField], after=None) -> DataFrame:
@@ -114,54 +120,71 @@ def posteriors(docs: DataFrame, prior: np.ndarray, rate: np.ndarray, keep: list[
     return docs.select("text", *(f.name for f in keep if f.name != "text")).mapInArrow(run, schema)
 
 
-def rates(post: np.ndarray, residuals: list[np.ndarray], step: float, ridge: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rate of each row after the steps, and the point where the next gradient is taken."""
-    r = y = np.ones(len(post))
-    t = 1.0
-    for e in residuals:
-        new = np.maximum(0, y - step * (post @ e + ridge * (y - 1)))
-        t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        r, y, t = new, new + (t - 1) / t_new * (new - r), t_new
-    return r, y
+def rates(post: np.ndarray, force: np.ndarray) -> np.ndarray:
+    """Rate of each row under the forces of the domains."""
+    return np.maximum(0, 1 + post @ force)
 
 
-def fit_rates(rows: DataFrame, target: np.ndarray, rounds: int, ridge: float, close: float) -> tuple[list[np.ndarray], float]:
-    """Residuals of each step over (n_tokens, posterior) rows, and the step size."""
+def fit_rates(rows: DataFrame, target: np.ndarray, ridge: float, close: float) -> tuple[np.ndarray, np.ndarray]:
+    """Forces of the domains, and the shares of the tokens that they give, over (n_tokens, posterior) rows."""
     k = len(target)
 
-    def sums(residuals, step):
+    def sums(tried):
+        """Tokens, then for each force tried: half the sum of squared rates, expected tokens, their derivatives."""
+        size = 1 + len(tried) * (1 + k + k * k)
+
         def run(tables):
-            total = np.zeros(2 * k + 1)
+            total = np.zeros(size)
             for t in tables:
                 if t.num_rows:
                     n = t.column("n_tokens").to_numpy().astype(float)
                     p = t.column("posterior").flatten().to_numpy().reshape(-1, k)
-                    r, y = rates(p, residuals, step, ridge)
-                    total += np.r_[(n * r) @ p, (n * y) @ p, n.sum()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["i", "x"])
+                    out = [[n.sum()]]
+                    for force in tried:
+                        r = rates(p, force)
+                        out += [[(n * r) @ r / 2], (n * r) @ p, ((p * (n * (r > 0))[:, None]).T @ p).reshape(-1)]
+                    total += np.concatenate(out)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(total)], ["i", "x"])
         got = rows.select("n_tokens", "posterior").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x")).collect()
-        return np.array([v for _, v in sorted((r[0], r[1]) for r in got)]) if got else np.zeros(2 * k + 1)
-
-    residuals, step = [], 1.0
-    for _ in range(rounds):
-        got = sums(residuals, step)
-        total = got[-1]
-        if not total or np.abs(got[:k] / total - target).max() < close:
-            break
-        residuals.append(got[k : 2 * k] / total - target)
-    return residuals, step
+        out = np.array([v for _, v in sorted((r[0], r[1]) for r in got)]) if got else np.zeros(size)
+        if not out[0]:
+            return None
+        return [(x[0], x[1 : k + 1], x[k + 1 :].reshape(k, k)) for x in (out[1:] / out[0]).reshape(len(tried), -1)]
+
+    force = np.zeros(k)
+    if (first := sums([force])) is None:
+        return force, np.zeros(k)
+    half, expected, slope = first[0]
+    weight = ridge * np.maximum(expected, 1e-9)
+    value, scale = half, 1.0
+    while True:
+        gradient = expected - target + weight * force
+        # At a target out of reach the shares never match, but the gradient vanishes at the best rates.
+        if np.abs(gradient).max() < close / 100 or scale < 1e-12:
+            return force, expected
+        step = np.linalg.solve(slope + np.diag(weight), gradient)
+        tried = [force - scale * 0.5**i * step for i in range(12)]
+        got = [(h - target @ f + weight @ (f * f) / 2, f, e, j) for f, (h, e, j) in zip(tried, sums(tried))]
+        best = min(got, key=lambda x: x[0])
+        if best[0] < value:
+            (value, force, expected, slope), scale = best, 1.0
+        else:
+            scale *= 0.5**12
 
 
 def mix_to_targets(docs: DataFrame, labels: DataFrame, targets: dict[int, float] | None = None, rows_per_class: int = 2000,
-                   rounds: int = 40, ridge: float = 1e-3, close: float = 1e-4) -> DataFrame:
-    """Rows of docs with n_tokens, posterior (by domain, ascending) and rate."""
+                   ridge: float = 1e-3, close: float = 1e-4) -> DataFrame:
+    """Rows of docs with n_tokens, posterior (by domain, ascending), rate, and the expected and target shares by domain."""
     bound_batches(docs.sparkSession)
     domains, prior, word_rate = fit_domains(docs, labels, rows_per_class)
     keep = rows_of(docs)
+    fixed = lambda x: F.array(*map(F.lit, map(float, x)))
     if not domains:
-        return posteriors(docs, np.zeros(1), np.zeros((1, 1 << BITS)), keep, lambda p: np.ones(len(p)))
+        out = posteriors(docs, np.zeros(1), np.zeros((1, 1 << BITS)), keep, lambda p: np.ones(len(p)))
+        return out.withColumns({"expected": fixed([1]), "target": fixed([1])})
     wanted = np.array([(TARGETS if targets is None else targets).get(d, 0.0) for d in domains])
     wanted = wanted / wanted.sum() if wanted.sum() else np.full(len(domains), 1 / len(domains))
     rows = cut_lineage(posteriors(docs, prior, word_rate, []), docs.sparkSession)
-    residuals, step = fit_rates(rows, wanted, rounds, ridge, close)
-    return posteriors(docs, prior, word_rate, keep, lambda p: rates(p, residuals, step, ridge)[0])
+    force, expected = fit_rates(rows, wanted, ridge, close)
+    out = posteriors(docs, prior, word_rate, keep, lambda p: rates(p, force))
+    return out.withColumns({"expected": fixed(expected), "target": fixed(wanted)})

@@ -134,7 +134,7 @@ def op2(spark, sf_dir):
 def op6(spark, sf_dir):
     out = mix_to_targets(table(spark, sf_dir, "documents", "doc_id", "text"),
                          table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
-    return out.select("doc_id", "n_tokens", "posterior", "rate")
+    return out.select("doc_id", "n_tokens", "posterior", "rate", "expected", "target")
 
 
 @query("op8_embedding_dedup")

@@ -56,9 +56,12 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the rate at which each should be drawn, without those of rate 0."""
-    found = mix_to_targets(docs, table(spark, sf_dir, "labels"))
-    return found.where("rate > 0").select(*docs.columns, "n_tokens", "rate")
+    """Every document with the rate at which it should be drawn, 0 included.
+
+    Toxic documents are gone, so the targets are those of the domains without them, scaled to a sum of 1.
+    """
+    found = mix_to_targets(docs, table(spark, sf_dir, "labels").where("toxic = 0"))
+    return found.select(*docs.columns, "n_tokens", "rate")
 
 
 STAGES = [
