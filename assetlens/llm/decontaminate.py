@@ -10,8 +10,8 @@ The benchmark is read in blocks of bounded size; each block is one narrow pass o
 (no shuffle of texts). Nothing is capped: more windows make more blocks.
 
 Results: null texts have no words, items without words no windows; ties in rarity go to the
-shingle with the smaller hash, then to its first place; repeated items count by item_id; repeated
-documents each get their row; without benchmark rows nothing is hit; further columns are kept,
+shingle with the smaller hash, then to its first place; repeated items count by item_id; items without
+item_id mark words as hit and add no name (the SQL of op9 leaves them out); repeated documents each get their row; without benchmark rows nothing is hit; further columns are kept,
 and columns that bear the name of a result are replaced.
 """
 
@@ -56,13 +56,13 @@ def read_words(buf: np.ndarray, off: np.ndarray):
 class Windows:
     """Distinct windows of a block of items: their words, their items, and the shingles they hold."""
 
-    def __init__(self, items: list[tuple[str, str]], size: int):
+    def __init__(self, items: list[tuple[str | None, str]], size: int):
         grams: dict[bytes, set[str]] = {}
         for name, text in items:
             buf = np.frombuffer(text.encode(), np.uint8)
             h, _ = read_words(buf, np.array([0, len(buf)]))
             for i in range(max(1, len(h) - size + 1) if len(h) else 0):
-                grams.setdefault(h[i : i + size].tobytes(), set()).add(name)
+                grams.setdefault(h[i : i + size].tobytes(), set()).update(() if name is None else (name,))
         rows = sorted(grams)
         self.length = np.array([len(r) // 8 for r in rows], np.int64)
         self.words = np.zeros((len(rows), size), np.uint64)
@@ -165,7 +165,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_b
     bound_batches(docs.sparkSession)
     names = ("n_words", "n_hit", "items")
     rest = [docs.schema[c] for c in docs.columns if c not in names]
-    bench = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
+    bench = benchmark.where(F.col("text").isNotNull()).select(
         F.col("item_id").cast("string").alias("item_id"), "text")
     blocks = group_count(text_bytes(bench), block_bytes, 1)
     markers = []
@@ -173,7 +173,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, block_b
                       F.array().cast("array<string>").alias("_items"))
     for b in range(blocks):
         # Bounded: one block of the benchmark, about block_bytes of text.
-        rows = bench.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).distinct().collect()
+        rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).distinct().collect()
         block = Windows([(r.item_id, r.text) for r in rows], size)
         if not len(block.items):
             continue
