@@ -231,8 +231,19 @@ def cut_lineage(df: DataFrame, spark: SparkSession) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again."""
+def written_at(df: DataFrame, spark: SparkSession) -> tuple[DataFrame, str]:
+    """df as a Parquet table in the shared folder, read again, and its path."""
     path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """df as a Parquet table in the shared folder, read again."""
+    return written_at(df, spark)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a written table that no later plan reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from .chat import render_chats
 from .decontaminate import decontaminate
 from .embeddings import embedding_dedup
+from .histogram_sort import histogram_shards
 from .labelled import crc_of_id
 from .maxent import maxent_score
 from .mixing import mix_to_targets
 from .ngram_join import ngram_jaccard_join
+from .ns_bounds import ns_cluster
 from .quality import quality
 from .rlz_dedup import rlz_dedup
 from .suffix_dedup import suffix_array_dedup
+from .term_audit import term_audit
 from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +143,81 @@ def op6(spark, sf_dir):
 @query("op8_embedding_dedup")
 def op8(spark, sf_dir):
     return embedding_dedup(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+@query("op11_histogram_shards")
+def op11(spark, sf_dir):
+    out = histogram_shards(table(spark, sf_dir, "documents", "doc_id", "text"))
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return out.select("doc_id", "size", crc.alias("text_crc32"), "law", "shard", "slot", "grown_shard")
+
+
+def lloyd_sql(k: int = 40, rounds: int = 5, dims: int = 64, scale: int = 256, seed: int = 2) -> str:
+    """Plain Lloyd rounds, unrolled: every distance in each round."""
+    near = """a{r} AS MATERIALIZED (
+  SELECT rid, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT rid, c, CAST(list_sum(list_transform(list_zip(x.v, m{r}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+        FROM x, m{r}) GROUP BY rid)"""
+    mean = """m{r} AS MATERIALIZED (
+  SELECT c, coalesce(u.v, o.v) AS v
+  FROM m{p} o LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v
+    FROM (SELECT c, i, sum(e) AS s, count(*) AS n
+          FROM (SELECT c, unnest(v) AS e, unnest(range(len(v))) AS i FROM x JOIN a{p} USING (rid)) GROUP BY c, i)
+    GROUP BY c) u USING (c))"""
+    parts = [f"""x AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, embedding,
+         list_transform(embedding, lambda e: CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dims})""",
+             f"""m0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, embedding) - 1 AS c, v
+  FROM (SELECT sha256('{seed}:' || vec_id) AS h, embedding, v FROM x ORDER BY h NULLS LAST, embedding LIMIT {k}))""",
+             near.format(r=0)]
+    for r in range(1, rounds + 1):
+        parts += [mean.format(r=r, p=r - 1), near.format(r=r)]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m{rounds}.v, ',')) AS centroid_sha256
+FROM x JOIN a{rounds} USING (rid) JOIN m{rounds} USING (c)"""
+
+
+@query("op13_ns_bounds_clusters", lloyd_sql())
+def op13(spark, sf_dir):
+    out = ns_cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                      F.sha2(F.col("centroid").cast("binary"), 256).alias("centroid_sha256"))
+
+
+@query("op12_term_audit", r"""
+WITH t AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM t),
+u AS MATERIALIZED (SELECT rid, lang, source, term, count(*) AS n
+                   FROM (SELECT rid, lang, source, unnest(w) AS term FROM t) GROUP BY ALL),
+k AS MATERIALIZED (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM u GROUP BY lang, term HAVING count(*) >= 3),
+l AS MATERIALIZED (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, source, term, CAST(sum(u.n) AS HUGEINT) AS n FROM u JOIN k USING (lang, term) GROUP BY ALL),
+s AS MATERIALIZED (SELECT lang, source, coalesce(sum(c.n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS MATERIALIZED (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (s.total + l.v) AS p,
+         1 + (1000000000 * (k.n + 1)) // (l.total + l.v) AS q
+  FROM s JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS f
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) z
+  ON z.lang = a.lang AND z.source = a.source AND z.item = b.source),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q)) // q AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term', item, CAST(value AS BIGINT),
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM terms
+QUALIFY rank <= 200""")
+def op12(spark, sf_dir):
+    return term_audit(table(spark, sf_dir, "documents", "lang", "source", "text"))
