@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, batches, bound_batches, concat, release, spread_starts, word_hashes, words, written
+from .common import LOWER, batches, bound_batches, discard, release, spread_starts, word_hashes, words, written, written_at
 
 UNIT = 1_000_000_000
 #: Runs of bytes other than these are terms.
@@ -104,7 +104,7 @@ class Batch:
             lang, source = (pa.array([k[i] for k in self.groups], pa.string()).take(pa.array(g)) for i in (0, 1))
             yield table(len(g), kind=np.zeros(len(g), np.int32), lang=lang, source=source, digest=h.view(np.int64), n=n, df=df)
             keys = np.array(list(self.texts), np.uint64)
-            low, high = zip(*self.texts.values())
+            low, high = zip(*((a, z if z != a else None) for a, z in self.texts.values()))
             yield table(len(keys), kind=np.ones(len(keys), np.int32), digest=keys.view(np.int64),
                         low=pa.array(low, pa.binary()).cast(pa.string()), high=pa.array(high, pa.binary()).cast(pa.string()))
         self.clear()
@@ -130,7 +130,10 @@ def summed(g: np.ndarray, h: np.ndarray, n: np.ndarray, df: np.ndarray):
 
 
 def counted(docs: DataFrame, mask: int, split: list[int], batch_bytes: int) -> DataFrame:
-    """Rows of ROWS: kind 0 are counts of (lang, source, digest) in a batch, kind 1 the texts of a digest in a batch."""
+    """Rows of ROWS: kind 0 are counts of (lang, source, digest) in a batch, kind 1 the texts of a digest in a batch.
+
+    high is null where one text was met.
+    """
     # Shared digests of 64 bits: none, but for texts made to collide.
     known = docs.sparkSession.sparkContext.broadcast(np.array(split, np.int64).view(np.uint64))
 
@@ -195,36 +198,36 @@ def block_sums(block: pa.Table) -> pa.Table:
 
 
 def pair_sums(kept: DataFrame, groups: DataFrame, n_rows: int, tile: int) -> DataFrame:
-    """(lang, sid, other, value) of each ordered pair of sources of a lang. kept: lang, sid, digest, p; groups: + p0, v."""
+    """(lid, sid, other, value) of each ordered pair of sources of a lang. kept: lid, sid, digest, p; groups: + p0, v."""
     blocks = max(1, -(-n_rows // BLOCK_ROWS))
-    tiles = groups.groupBy("lang").agg(F.floor(F.max("sid") / tile).cast("long").alias("last"))
+    tiles = groups.groupBy("lid").agg(F.floor(F.max("sid") / tile).cast("long").alias("last"))
     own = F.floor(F.col("sid") / tile).cast("long")
     every = F.sequence(F.lit(0).cast("long"), F.col("last"))
 
     def sided(rows):
         """Each row as one of the rows' tile against all tiles, and as one of the columns' tile."""
-        rows = rows.join(tiles, "lang")
+        rows = rows.join(tiles, "lid")
         a = rows.withColumn("j", F.explode(every)).withColumn("i", own).withColumn("side", F.lit(0))
         b = rows.withColumn("i", F.explode(every)).withColumn("j", own).withColumn("side", F.lit(1))
         return a.unionByName(b).drop("last")
 
-    some = kept.select("lang", "sid", "digest", "p", F.pmod("digest", F.lit(blocks)).alias("block"))
-    zeros = groups.select("lang", "sid", F.lit(None).cast("long").alias("digest"), F.col("p0").alias("p"),
+    some = kept.select("lid", "sid", "digest", "p", F.pmod("digest", F.lit(blocks)).alias("block"))
+    zeros = groups.select("lid", "sid", F.lit(None).cast("long").alias("digest"), F.col("p0").alias("p"),
                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
 
     def work(key, block):
         out = block_sums(block)
-        return out.append_column("lang", pa.array([key[0].as_py()] * out.num_rows, pa.string())).select(["lang", "sid", "other", "s", "seen"])
+        return out.append_column("lid", pa.array([key[0].as_py()] * out.num_rows, pa.int64())).select(["lid", "sid", "other", "s", "seen"])
 
-    sums = (sided(some.unionByName(zeros)).groupBy("lang", "i", "j", "block").applyInArrow(work, "lang string, sid long, other long, s long, seen long")
-            .groupBy("lang", "sid", "other").agg(F.sum("s").alias("s"), F.sum("seen").alias("seen")))
-    b = groups.select("lang", F.col("sid").alias("other"), F.col("p0").alias("q0"))
-    sums = sums.where("sid <> other").join(groups, ["lang", "sid"]).join(b, ["lang", "other"])
+    sums = (sided(some.unionByName(zeros)).groupBy("lid", "i", "j", "block").applyInArrow(work, "lid long, sid long, other long, s long, seen long")
+            .groupBy("lid", "sid", "other").agg(F.sum("s").alias("s"), F.sum("seen").alias("seen")))
+    b = groups.select("lid", F.col("sid").alias("other"), F.col("p0").alias("q0"))
+    sums = sums.where("sid <> other").join(groups, ["lid", "sid"]).join(b, ["lid", "other"])
     # Terms that no block has shown are held by neither: they all diverge alike.
-    return sums.select("lang", "sid", "other", (F.col("s") + (F.col("v") - F.col("seen")) * gap(F.col("p0"), F.col("q0"))).alias("value"))
+    return sums.select("lid", "sid", "other", (F.col("s") + (F.col("v") - F.col("seen")) * gap(F.col("p0"), F.col("q0"))).alias("value"))
 
 
-def term_audit(docs: DataFrame, least_docs: int = 3, top: int = 200, tile: int = 256, batch_bytes: int = 16 << 20,
+def term_audit(docs: DataFrame, least_docs: int = 3, top: int = 200, tile: int = 256, batch_bytes: int = 24 << 20,
                bits: int = 64) -> DataFrame:
     """lang, source, part ('pair' or 'term'), item, value and rank of every (lang, source) group of docs (lang, source, text).
 
@@ -233,46 +236,48 @@ def term_audit(docs: DataFrame, least_docs: int = 3, top: int = 200, tile: int =
     bound_batches(docs.sparkSession)
     spark = docs.sparkSession
     docs = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    named = docs.groupBy("lang", "source").count()
-    groups = written(named.select("lang", "source", (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long").alias("sid")), spark)
+    named = docs.groupBy("lang", "source").count().select("lang", "source")
+    langs = written(named.select("lang").distinct().withColumn("lid", F.monotonically_increasing_id()), spark)
+    sid = (F.row_number().over(Window.partitionBy("lid").orderBy("source")) - 1).cast("long")
+    names = written(named.join(langs, "lang").withColumn("sid", sid), spark)
     split: list[int] = []
     while True:
-        told = written(counted(docs, (1 << bits) - 1, split, batch_bytes), spark)
-        counts = told.where("kind = 0").groupBy("lang", "digest", "source").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
-        whole = Window.partitionBy("lang", "digest")
+        told, path = written_at(counted(docs, (1 << bits) - 1, split, batch_bytes), spark)
+        counts = told.where("kind = 0").join(names, ["lang", "source"])
+        counts = counts.groupBy("lid", "digest", "sid").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+        whole = Window.partitionBy("lid", "digest")
         counts = counts.withColumns({"lang_n": F.sum("n").over(whole), "lang_df": F.sum("df").over(whole),
-                                     "lead": F.row_number().over(whole.orderBy("source")) == 1})
-        counts = counts.where(F.col("lang_df") >= least_docs)
-        counts = written(counts.join(groups, ["lang", "source"]).select("lang", "sid", "digest", "n", "lang_n", "lead"), spark)
-        # Texts of a digest are reduced in each task before they move, once for all langs.
-        texts = told.where("kind = 1").groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+                                     "lead": F.row_number().over(whole.orderBy("sid")) == 1})
+        counts = written(counts.where(F.col("lang_df") >= least_docs).select("lid", "sid", "digest", "n", "lang_n", "lead"), spark)
+        # Texts are reduced in each batch before they move, once for all langs.
+        high = F.max(F.coalesce("high", "low"))
+        texts = told.where("kind = 1").repartition("digest").groupBy("digest").agg(F.min("low").alias("low"), high.alias("high"))
         texts = written(texts.join(counts.select("digest").distinct(), "digest", "left_semi"), spark)
+        discard(spark, path)
         shared = [r[0] for r in texts.where("low <> high").select("digest").toLocalIterator()]
         if not shared:
             break
         split += shared
-    langs = counts.groupBy("lang").agg(F.sum("n").alias("lang_total"), F.sum(F.col("lead").cast("long")).alias("v"))
-    sums = counts.groupBy("lang", "sid").agg(F.sum("n").alias("total"))
-    groups = groups.join(langs, "lang", "left").join(sums, ["lang", "sid"], "left").fillna(0, ["lang_total", "v", "total"])
-    groups = groups.withColumn("p0", F.when(F.col("v") > 0, share(F.lit(0).cast("long"), F.col("total"), F.greatest("v", F.lit(1)))).otherwise(F.lit(1)))
-    groups = written(groups, spark)
-    kept = counts.join(groups.select("lang", "sid", "source", "total", "lang_total", "v"), ["lang", "sid"])
+    langs = counts.groupBy("lid").agg(F.sum("n").alias("lang_total"), F.sum(F.col("lead").cast("long")).alias("v"))
+    sums = counts.groupBy("lid", "sid").agg(F.sum("n").alias("total"))
+    groups = names.select("lid", "sid").join(langs, "lid", "left").join(sums, ["lid", "sid"], "left").fillna(0, ["lang_total", "v", "total"])
+    p0 = share(F.lit(0).cast("long"), F.col("total"), F.greatest("v", F.lit(1)))
+    groups = written(groups.withColumn("p0", F.when(F.col("v") > 0, p0).otherwise(F.lit(1))), spark)
+    kept = counts.join(groups.select("lid", "sid", "total", "lang_total", "v"), ["lid", "sid"])
     kept = kept.withColumn("p", share(F.col("n"), F.col("total"), F.col("v")))
-
-    pairs = pair_sums(kept.select("lang", "sid", "digest", "p"), groups.select("lang", "sid", "p0", "v"), counts.count(), tile)
-    # Langs without kept terms show no block with a term; their zero rows give 0 for every pair.
-    names = groups.select("lang", "sid", "source")
-    pairs = pairs.join(names, ["lang", "sid"]).join(
-        names.select("lang", F.col("sid").alias("other"), F.col("source").alias("item")), ["lang", "other"])
-    pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value")
     order = lambda *by: Window.partitionBy(*by).orderBy(F.desc("value"), "item")
+
+    # A lang without kept terms has blocks of zero rows only, which give 0 for every pair.
+    pairs = pair_sums(kept.select("lid", "sid", "digest", "p"), groups.select("lid", "sid", "p0", "v"), counts.count(), tile)
+    pairs = pairs.join(names.select("lid", F.col("sid").alias("other"), F.col("source").alias("item")), ["lid", "other"])
+    pairs = pairs.join(names, ["lid", "sid"]).select("lang", "source", F.lit("pair").alias("part"), "item", "value")
     pairs = pairs.withColumn("rank", F.row_number().over(order("lang", "source")))
 
     q = share(F.col("lang_n"), F.col("lang_total"), F.col("v"))
     terms = kept.withColumn("q", q).where("p > q").withColumn("value", gap(F.col("p"), F.col("q")))
     # Ranked without texts first: ties at the last rank all stay until their texts are there.
-    terms = terms.withColumn("at", F.rank().over(Window.partitionBy("lang", "source").orderBy(F.desc("value")))).where(F.col("at") <= top)
-    terms = terms.join(texts.select("digest", F.col("low").alias("item")), "digest")
-    terms = terms.select("lang", "source", F.lit("term").alias("part"), "item", "value")
+    terms = terms.withColumn("at", F.rank().over(Window.partitionBy("lid", "sid").orderBy(F.desc("value")))).where(F.col("at") <= top)
+    terms = terms.select("lid", "sid", "digest", "value").join(texts.select("digest", F.col("low").alias("item")), "digest")
+    terms = terms.join(names, ["lid", "sid"]).select("lang", "source", F.lit("term").alias("part"), "item", "value")
     terms = terms.withColumn("rank", F.row_number().over(order("lang", "source"))).where(F.col("rank") <= top)
     return pairs.unionByName(terms)
