@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import identity as I
 from ..functions import rules as R
 from ..functions.text import alnum, brand_norm, canonical_text, molecule_components, phrase_in, token_key
 from .html import indication_section
+from .materialize import materialize
 from .measures import ingredient_cover, pool_choice, top_n
 
 EMPTY = lambda: F.array().cast("array<string>")
@@ -165,25 +166,28 @@ def prepare_products(products: DataFrame) -> DataFrame:
         F.filter(F.transform("active_ingredients", lambda s: brand_norm(s)), lambda s: s != "").alias("ingredients"))
 
 
-def _verdict(pool: DataFrame, products: DataFrame, stage: str, absent: str = "Not Found") -> DataFrame:
-    status = F.when(F.col("statements").isNull(), absent).when(F.col("statements") > 1, "Ambiguous").otherwise("Matched")
+def _verdict(pool: DataFrame, products: DataFrame, stage: str, *more: str) -> DataFrame:
+    status = F.when(F.col("statements").isNull(), "Not Found").when(F.col("statements") > 1, "Ambiguous").otherwise("Matched")
     d = products.select("product_id").join(pool, "product_id", "left").withColumn("status", status)
     conf = F.when(F.col("status") == "Matched", "High").when(F.col("status") == "Ambiguous", "Medium").otherwise("Low")
     return d.select("product_id", F.lit(stage).alias("stage"), "status", conf.alias("confidence"), "label_id", "effective",
-                    F.coalesce("statements", F.lit(0)).alias("statements"))
+                    F.coalesce("statements", F.lit(0)).alias("statements"), *more)
 
 
 # ---- evidence stages ----------------------------------------------------------------------
 
 
 def by_application(products: DataFrame, groups: DataFrame) -> DataFrame:
-    """Application and brand both agree; best sponsor pool; one statement or ambiguous."""
+    """Application and brand both agree; best sponsor pool; one statement or ambiguous.
+
+    The hits are written once as narrow rows: the pool and the products that have any hit both read them."""
     p = products.select("product_id", "brands", "sponsors")
     hits = application_labels(products, groups).withColumnRenamed("brands", "label_brands").join(p, "product_id")
     hits = hits.filter(F.exists("label_brands", lambda b: brand_matches(b, F.col("brands"))))
+    hits = materialize(hits.select("product_id", "label_id", "effective", "ordinal", "statement", (F.col("text") != "").alias("told"),
+                                   sponsor_score(F.col("makers"), F.col("sponsors")).alias("sponsor_score")), "application_hits")
+    pool = pool_choice(hits.filter("told"), ["product_id"], ["effective"], ["label_id", "effective"])
     seen = hits.select("product_id").distinct().withColumn("seen", F.lit(True))
-    hits = hits.filter("text <> ''").withColumn("sponsor_score", sponsor_score(F.col("makers"), F.col("sponsors")))
-    pool = pool_choice(hits, ["product_id"], ["effective"], ["label_id", "effective"])
     out = _verdict(pool, products, "application").join(seen, "product_id", "left")
     return out.withColumn("status", F.when((F.col("status") == "Not Found") & F.col("seen"), "No Indication Text").otherwise(F.col("status"))).drop("seen")
 
@@ -193,51 +197,69 @@ def family_flags(chosen: DataFrame, families: DataFrame) -> DataFrame:
     numbers occur in the exact-brand family whose rows hold every ingredient.
 
     families(brand_key, application, ingredients) is joined on brand and number, so the
-    members of a large family never meet each other."""
-    base = chosen.select("product_id", F.explode("brands").alias("brand_key"), "ingredients", "given", "found")
-
-    def hits(side):
-        rows = base.select("product_id", "brand_key", F.col("ingredients").alias("wanted"),
-                           F.explode(I.application_candidates(F.col(side))).alias("application"))
-        ok = (F.size("wanted") > 0) & (F.size("ingredients") > 0) & (F.size(F.array_except("wanted", "ingredients")) == 0)
-        return rows.join(families, ["brand_key", "application"]).filter(ok).select("product_id").distinct().withColumn(f"{side}_in", F.lit(True))
-    return chosen.select("product_id").distinct().join(hits("given"), "product_id", "left").join(hits("found"), "product_id", "left")
+    members of a large family never meet each other; both sides go through one join."""
+    sides = F.array(*[F.struct(F.lit(c).alias("side"), I.application_candidates(F.col(c)).alias("apps")) for c in ("given", "found")]).cast("array<struct<side:string,apps:array<string>>>")
+    rows = chosen.select("product_id", F.explode("brands").alias("brand_key"), F.col("ingredients").alias("wanted"), sides.alias("sides"))
+    rows = rows.withColumn("s", F.explode("sides")).select("product_id", "brand_key", "wanted", "s.side", F.explode("s.apps").alias("application"))
+    whole = (F.size("wanted") > 0) & (F.size("ingredients") > 0) & (F.size(F.array_except("wanted", "ingredients")) == 0)
+    hits = rows.join(families, ["brand_key", "application"], "left").withColumn("hit", F.coalesce(whole, F.lit(False)))
+    return hits.groupBy("product_id").agg(*[F.max(F.col("hit") & (F.col("side") == s)).alias(f"{s}_in") for s in ("given", "found")])
 
 
 def by_brand(products: DataFrame, groups: DataFrame, families: DataFrame, stage: str = "brand") -> DataFrame:
     """Brand by word-prefix and compatible ingredients; latest label, then sponsor; the
     application numbers must agree or belong to one family.
 
-    The latest date is found on (brand, ingredients) groups first; only labels of that date
-    meet the product, so a common brand does not multiply products by labels."""
+    The latest date is found for each (brand, wanted ingredients) first; only label groups of
+    that date meet products, so a common brand does not multiply products by labels."""
     usable = groups.filter("text <> ''").withColumn("brand_key", F.explode("brands")).drop("brands")
     dates = usable.groupBy("brand_key", F.col("ingredients").alias("offered")).agg(F.max("effective").alias("newest"))
-    keyed = products.select("product_id", F.explode("brands").alias("p_brand"), "ingredients")
+    keyed = products.select("product_id", F.explode("brands").alias("p_brand"), F.col("brands"), "ingredients", "sponsors", F.col("apps").alias("given"))
     wants = keyed.select("p_brand", "ingredients").distinct()
     links = prefix_links(wants.select("p_brand"), dates.select("brand_key"))
     fits = (wants.join(links, wants.p_brand == links.left_name).join(dates, F.col("right_name") == dates.brand_key)
             .withColumn("fit", ingredient_compatibility(F.col("ingredients"), F.col("offered"))).filter("fit.enough")
             .select("p_brand", "ingredients", "brand_key", "offered", "newest", F.size("fit.matched").alias("n_matched")))
-    d = keyed.join(fits, ["p_brand", "ingredients"]).drop("p_brand", "ingredients").distinct()
-    latest = d.groupBy("product_id").agg(F.max("newest").alias("newest"))
-    d = d.join(latest, ["product_id", "newest"])
+    fits = materialize(fits, f"{stage}_fits")
+    latest = fits.groupBy("p_brand", "ingredients").agg(F.max("newest").alias("newest"))
+    fits = fits.join(latest, ["p_brand", "ingredients", "newest"])
+    d = keyed.join(fits, ["p_brand", "ingredients"]).drop("p_brand").distinct()
+    # Several brands of one product: the latest of them counts.
+    d = d.withColumn("last", F.max("newest").over(Window.partitionBy("product_id"))).filter("newest = last").drop("last")
     rows = usable.select("brand_key", F.col("ingredients").alias("offered"), F.col("effective").alias("newest"), "effective",
                          "label_id", "ordinal", "statement", "makers", F.col("apps").alias("found"))
     d = d.join(rows, ["brand_key", "offered", "newest"]).dropDuplicates(["product_id", "label_id"])
-    d = d.join(products.select("product_id", "sponsors", F.col("apps").alias("given")), "product_id")
     d = d.withColumn("sponsor_score", sponsor_score(F.col("makers"), F.col("sponsors")))
-    pool = pool_choice(d, ["product_id"], ["n_matched", "effective"], ["label_id", "effective", "found", "given"])
-    chosen = pool.join(products.select("product_id", "brands", "ingredients"), "product_id")
-    flags = family_flags(chosen, families)
+    pool = materialize(pool_choice(d, ["product_id"], ["n_matched", "effective"], [
+        "label_id", "effective", "found", "given", "brands", "ingredients"]), f"{stage}_pool")
+    flags = family_flags(pool, families)
     clash = (F.size("given") > 0) & (F.size("found") > 0) & ~F.arrays_overlap("given", "found")
-    checked = chosen.join(flags, "product_id").select("product_id", (clash & ~(
-        F.coalesce("given_in", F.lit(False)) & F.coalesce("found_in", F.lit(False)))).alias("mismatch"))
-    out = _verdict(pool, products, stage).join(checked, "product_id", "left")
+    known = F.coalesce(F.col("given_in"), F.lit(False)) & F.coalesce(F.col("found_in"), F.lit(False))
+    pool = pool.join(flags, "product_id", "left").withColumn("mismatch", clash & ~known)
+    out = _verdict(pool, products, stage, "mismatch")
     bad = F.coalesce("mismatch", F.lit(False))
     return out.withColumn("status", F.when(bad, "Application Mismatch").otherwise(F.col("status"))).withColumn(
         "confidence", F.when(bad, "Low").otherwise(F.col("confidence"))).drop("mismatch")
 
 
+def listing_groups(listing: DataFrame) -> DataFrame:
+    """Listing documents as label groups: the whole title is the brand to match and one more ingredient,
+    for documents whose ingredient markup is incomplete; the labeler plays no part."""
+    title = brand_norm("title")
+    named = F.filter(F.transform("ingredient_names", lambda i: brand_norm(i)), lambda i: i != "")
+    return listing.filter(title != "").select(
+        F.array(title).alias("brands"), I.application_candidates(F.col("document_apps"), True).alias("apps"),
+        EMPTY().alias("makers"), F.array_sort(F.array_distinct(F.concat(named, F.array(title)))).alias("ingredients"),
+        "text", "statement", F.col("published").alias("effective"), F.col("setid").alias("label_id"),
+        F.col("ordinal") if "ordinal" in listing.columns else F.lit(0).alias("ordinal"))
+
+
+def by_listing_brand(products: DataFrame, listing: DataFrame, families: DataFrame) -> DataFrame:
+    """Brand and ingredient on the listing, latest published, the title as further evidence. Every listed
+    document counts, not only the newest few that one could fetch."""
+    return by_brand(products, listing_groups(listing), families, "spl_brand")
+
+
 def spl_routes(products: DataFrame, listing: DataFrame, titles: DataFrame, newest: int = 8) -> DataFrame:
     """Listing candidates of each product by the first route that has any: application and
     brand; brand with the application found in the document; for products without a number,

@@ -9,6 +9,8 @@ from ..functions import phase as P
 from ..functions import text as T
 from ..operators import evidence as E
 from ..operators import html as H
+from ..operators.cascade import EvidenceCascade, EvidenceSources
+from ..operators.materialize import materialize
 from ..operators.measures import attribute_union
 from ..sources import contract, records as S
 from . import bindings as B
@@ -314,7 +316,8 @@ v AS (SELECT product_id, count(DISTINCT l_returnflag) AS statements, arg_max(lab
 SELECT p_partkey AS product_id, CASE WHEN statements > 1 THEN 'Ambiguous' WHEN statements = 1 THEN 'Matched' WHEN p_partkey IN (SELECT product_id FROM h) THEN 'No Indication Text' ELSE 'Not Found' END AS status,
   v.label_id, v.effective, coalesce(statements, 0) AS statements FROM part LEFT JOIN v ON v.product_id = p_partkey""")
 def e02(spark, d):
-    out = E.by_application(E.prepare_products(_products(spark, d)), E.label_groups(_labels(spark, d)))
+    products = materialize(E.prepare_products(_products(spark, d)), "products")
+    out = E.by_application(products, materialize(E.label_groups(_labels(spark, d)), "label_groups"))
     return out.select("product_id", "status", "label_id", "effective", "statements")
 
 
@@ -327,10 +330,11 @@ v AS (SELECT product_id, count(DISTINCT l_returnflag) AS statements, arg_max(lab
 SELECT p_partkey AS product_id, CASE WHEN statements IS NULL THEN 'Not Found' WHEN found <> p_partkey AND NOT (p_partkey % 2 = 0 AND found % 2 = 0) THEN 'Application Mismatch' WHEN statements > 1 THEN 'Ambiguous' ELSE 'Matched' END AS status,
   v.label_id, v.effective FROM part LEFT JOIN v ON v.product_id = p_partkey""")
 def e03(spark, d):
-    products = E.prepare_products(_products(spark, d))
+    products = materialize(E.prepare_products(_products(spark, d)), "products")
     families = table(spark, d, "part").filter("p_partkey % 2 = 0").select(T.brand_norm("p_name").alias("brand_key"), F.concat(F.lit("NDA"), F.lpad(F.col("p_partkey").cast("string"), 6, "0")).alias("application"),
                                                                          F.array(T.brand_norm("p_type")).alias("ingredients"))
-    return E.by_brand(products, E.label_groups(_labels(spark, d)), families).select("product_id", "status", "label_id", "effective")
+    groups = materialize(E.label_groups(_labels(spark, d)), "label_groups")
+    return E.by_brand(products, groups, families).select("product_id", "status", "label_id", "effective")
 
 
 def _listing(spark, d):
@@ -376,15 +380,77 @@ def e06(spark, d):
     return E.by_application_page(E.prepare_products(_products(spark, d)), pages, texts).select("product_id", "status", "label_id")
 
 
-@query("E07_fallback_cascade", """SELECT p_partkey AS product_id, CASE p_partkey % 5 WHEN 0 THEN 'application' WHEN 1 THEN 'brand' WHEN 2 THEN 'spl' WHEN 3 THEN 'application' ELSE 'application' END AS stage,
-  ['Matched', 'Ambiguous', 'Matched', 'Not Found', 'Application Mismatch'][1 + p_partkey % 5] AS status FROM part""")
+def _cascade(spark, d):
+    """Every source covers a part of the products: labels two types, the listing even keys, pages numbered products."""
+    part, k = table(spark, d, "part"), F.col("p_partkey")
+    none = F.array().cast("array<string>")
+    num = F.concat(F.lit("NDA"), F.lpad(k.cast("string"), 6, "0"))
+    products = _products(spark, d).withColumn("application_numbers", F.when(F.col("product_id") % 4 == 2, none).otherwise(F.col("application_numbers")))
+    labels = _labels(spark, d).withColumn("key", F.split("label_id", "-")[0].cast("long")).filter("key % 3 = 0 and ingredient_names[0] in ('STANDARD', 'PROMO')")
+    labels = labels.withColumn("indications", F.when(F.col("key") % 9 == 0, none).otherwise(F.col("indications"))).drop("key")
+    title = F.concat("p_name", F.lit(" (set "), k, F.lit(") [Supplier#"), F.lpad((k % 7).cast("string"), 9, "0"), F.lit("]"))
+    text = F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("for "), "p_type", F.lit(" use "), k % 3))
+    listing = part.filter("p_partkey % 2 = 0 and p_type <> 'LARGE'").select(
+        F.concat(F.lit("S"), k).alias("setid"), title.alias("title"), F.lpad((F.floor(k / 4) % 13).cast("string"), 4, "0").alias("published"),
+        F.when(k % 3 == 0, F.array(num)).otherwise(none).alias("listed_apps"), F.when(k % 3 == 1, F.array(num)).otherwise(none).alias("document_apps"),
+        F.when(k % 5 == 4, none).otherwise(F.array("p_type")).alias("ingredient_names"), text.alias("text"), F.sha2(T.brand_norm(text), 256).alias("statement"))
+    titles = part.filter("p_partkey % 8 = 2").select(k.alias("product_id"), title.alias("title"))
+    url = F.concat(F.lit("/drugsatfda_docs/label/2024/"), k.cast("string"), F.lit("s002lbl.pdf"))
+    html = F.concat(F.lit("<h1>"), F.when(k % 4 == 3, "nothing").otherwise(F.col("p_name")), F.lit(" "), "p_type", F.lit("</h1><a href='"), url, F.lit("'>b</a>"))
+    pages = part.select(F.lpad(k.cast("string"), 6, "0").alias("application"), html.alias("html"))
+    body = F.concat("p_name", F.lit(" tablets\nINDICATIONS AND USAGE\nis indicated for the treatment of "), "p_type", F.lit(" disease\nWARNINGS\nx"))
+    texts = part.select(F.concat(F.lit("https://www.accessdata.fda.gov"), url).alias("url"), body.alias("text"))
+    families = part.filter("p_partkey % 2 = 0").select(T.brand_norm("p_name").alias("brand_key"), num.alias("application"), F.array(T.brand_norm("p_type")).alias("ingredients"))
+    return EvidenceCascade(products, EvidenceSources(labels, listing, titles, pages, texts, families))
+
+
+#: All stages over all products, then only those that a product reaches.
+CASCADE_SQL = LABEL_SQL + """,
+w AS (SELECT * FROM l WHERE l_partkey % 3 = 0 AND p_type IN ('STANDARD', 'PROMO')), t AS (SELECT * FROM w WHERE l_returnflag <> 'N' AND l_partkey % 9 <> 0),
+p AS (SELECT p_partkey AS k, p_name, p_type, p_partkey % 4 <> 2 AS numbered FROM part),
+h1 AS (SELECT k, w.*, CASE WHEN l_suppkey = k % 10 THEN 3 ELSE 0 END AS s FROM p JOIN w ON l_partkey = k WHERE numbered),
+t1 AS (SELECT h1.* FROM h1 JOIN t USING (label_id)), b1 AS (SELECT k, max(s) AS s FROM t1 GROUP BY 1),
+v1 AS (SELECT k, count(DISTINCT l_returnflag) AS n, arg_max(label_id, (effective, -ordinal)) AS label_id, max(effective) AS effective FROM t1 JOIN b1 USING (k, s) GROUP BY 1),
+e2 AS (SELECT k, CASE WHEN n > 1 THEN 'Ambiguous' WHEN n = 1 THEN 'Matched' WHEN k IN (SELECT k FROM h1) THEN 'No Indication Text' ELSE 'Not Found' END AS status, label_id, effective, n FROM p LEFT JOIN v1 USING (k)),
+d2 AS (SELECT p_name, p_type, max(effective) AS effective FROM t GROUP BY 1, 2),
+q2 AS (SELECT p.k, p.numbered, t.*, CASE WHEN l_suppkey = k % 10 THEN 3 ELSE 0 END AS s FROM p JOIN d2 USING (p_name, p_type) JOIN t USING (p_name, p_type, effective)),
+b2 AS (SELECT k, max(s) AS s FROM q2 GROUP BY 1),
+v2 AS (SELECT k, count(DISTINCT l_returnflag) AS n, arg_max(label_id, (-ordinal, label_id)) AS label_id, max(effective) AS effective, arg_max(l_partkey, (-ordinal, label_id)) AS found, any_value(numbered) AS numbered FROM q2 JOIN b2 USING (k, s) GROUP BY 1),
+e3 AS (SELECT k, CASE WHEN n IS NULL THEN 'Not Found' WHEN v2.numbered AND found <> k AND NOT (k % 2 = 0 AND found % 2 = 0) THEN 'Application Mismatch' WHEN n > 1 THEN 'Ambiguous' ELSE 'Matched' END AS status, label_id, effective, n FROM p LEFT JOIN v2 USING (k)),
+s AS (SELECT p_partkey AS lk, 'S' || p_partkey AS setid, p_name, p_type, lpad(CAST(p_partkey // 4 % 13 AS VARCHAR), 4, '0') AS published, p_partkey % 11 <> 0 AS told, p_type || p_partkey % 3 AS statement
+  FROM part WHERE p_partkey % 2 = 0 AND p_type <> 'LARGE'),
+e4 AS (SELECT k, CASE WHEN told AND (k % 8 = 2 OR numbered AND k % 3 < 2) THEN 'Matched' ELSE 'Not Found' END AS status, setid AS label_id, published AS effective, 1 AS n FROM p LEFT JOIN s ON lk = k),
+q5 AS (SELECT k, numbered, p.p_type AS own, s.*, max(published) OVER (PARTITION BY k) AS last FROM p JOIN s ON s.p_name = p.p_name AND told AND (lk % 5 <> 4 AND s.p_type = p.p_type OR contains(lower(s.p_name), lower(p.p_type)))),
+v5 AS (SELECT k, count(DISTINCT statement) AS n, max(setid) AS label_id, max(published) AS effective, arg_max(lk, setid) AS found, arg_max(p_type = own, setid) AS same, any_value(numbered) AS numbered FROM q5 WHERE published = last GROUP BY 1),
+e5 AS (SELECT k, CASE WHEN n IS NULL THEN 'Not Found' WHEN v5.numbered AND found % 3 = 1 AND found <> k AND NOT (k % 2 = 0 AND same) THEN 'Application Mismatch' WHEN n > 1 THEN 'Ambiguous' ELSE 'Matched' END AS status, label_id, effective, n FROM p LEFT JOIN v5 USING (k)),
+e6 AS (SELECT k, CASE WHEN numbered AND k % 4 <> 3 THEN 'Matched' ELSE 'Not Found' END AS status, 'https://www.accessdata.fda.gov/drugsatfda_docs/label/2024/' || k || 's002lbl.pdf' AS label_id, NULL AS effective, 1 AS n FROM p),
+j AS (SELECT k, e2.status AS s1, e3.status AS s2, e4.status AS s3, e5.status AS s4, e6.status AS s5, [e2.label_id, e3.label_id, e4.label_id, e5.label_id, e6.label_id] AS labels, [e2.n, e3.n, e4.n, e5.n, e6.n] AS ns,
+  [e2.effective, e3.effective, e4.effective, e5.effective, '2024/000002/' || e6.label_id] AS dates
+  FROM e2 JOIN e3 USING (k) JOIN e4 USING (k) JOIN e5 USING (k) JOIN e6 USING (k)),
+u AS (SELECT *, ['Matched', 'Ambiguous'] AS ok FROM j),
+a AS (SELECT *, CASE WHEN s1 NOT IN ('Not Found', 'No Indication Text') THEN 1 WHEN list_contains(ok, s2) THEN 2 WHEN list_contains(ok, s3) THEN 3 WHEN list_contains(ok, s4) THEN 4 WHEN list_contains(ok, s5) THEN 5 ELSE 6 END AS pos FROM u),
+f AS (SELECT k, pos, CASE WHEN pos = 6 THEN 1 ELSE pos END AS i, ['application', 'brand', 'spl', 'spl_brand', 'application_page'] AS names, [s1, s2, s3, s4, s5] AS states, labels, ns, dates FROM a)
+"""
+
+
+@query("E07_fallback_cascade", CASCADE_SQL + """SELECT k AS product_id, names[i] AS stage, states[i] AS status, CASE states[i] WHEN 'Matched' THEN 'High' WHEN 'Ambiguous' THEN 'Medium' ELSE 'Low' END AS confidence,
+  CASE WHEN pos < 6 THEN labels[i] END AS label_id, CASE WHEN pos < 6 THEN dates[i] END AS effective, CAST(CASE WHEN pos < 6 THEN ns[i] ELSE 0 END AS BIGINT) AS statements,
+  array_to_string(list_sort([names[x] || '=' || states[x] FOR x IN range(1, least(pos, 5) + 1)]), ';') AS trail FROM f""")
 def e07(spark, d):
-    table_ = {"application": ["Matched", "Not Found", "No Indication Text", "Not Found", "Application Mismatch"],
-              "brand": ["Matched", "Ambiguous", "Not Found", "Application Mismatch", "Matched"], "spl": ["Matched", "Matched", "Matched", "Not Found", "Matched"]}
-    p = table(spark, d, "part")
-    stages = [p.select(F.col("p_partkey").alias("product_id"), F.lit(s).alias("stage"), pick("p_partkey", v).alias("status"), F.lit("x").alias("confidence"),
-                       F.lit("l").alias("label_id"), F.lit("e").alias("effective"), F.lit(1).cast("long").alias("statements")) for s, v in table_.items()]
-    return E.cascade(p.select(F.col("p_partkey").alias("product_id")), stages).select("product_id", "stage", "status")
+    return _cascade(spark, d).run().withColumn("trail", F.array_join("trail", ";"))
+
+
+@query("E07_stage_diagnostics", CASCADE_SQL + """SELECT stage, status, count(*) AS products FROM (SELECT unnest([{'stage': names[x], 'status': states[x]} FOR x IN range(1, least(pos, 5) + 1)], recursive := true) FROM f) GROUP BY ALL""")
+def e07_stages(spark, d):
+    run = _cascade(spark, d)
+    run.run()
+    return run.diagnostics()
+
+
+@query("E05_listing_brand", CASCADE_SQL + "SELECT k AS product_id, status, label_id, effective, CAST(coalesce(n, 0) AS BIGINT) AS statements FROM e5")
+def e05(spark, d):
+    s = _cascade(spark, d)
+    return E.by_listing_brand(s.products, s.sources.listing, s.sources.families).select("product_id", "status", "label_id", "effective", "statements")
 
 
 @query("E01_marketed_identity", """WITH a AS (SELECT DISTINCT p_name, p_type FROM part WHERE p_partkey % 4 = 0), b AS (SELECT DISTINCT p_name FROM part WHERE p_partkey % 50 = 1),
