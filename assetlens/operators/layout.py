@@ -7,13 +7,14 @@ chunked scans of ``ordered``.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import identity as I
 from ..functions import phase as P
 from ..functions.text import clean
+from .folds import distinct_bands as _distinct_bands
+from .folds import running_mean_groups
 from .ordered import Ordered
 
 PAGE = ["doc_id", "page_no"]
@@ -35,25 +36,8 @@ def gap_groups(df: DataFrame, by: list[str], position: Column, tie: list[str], t
 
 
 def line_groups(words: DataFrame, tolerance: float = 3.0) -> DataFrame:
-    return gap_groups(words, PAGE, center_y(), ["x0", "pos"], tolerance, "line")
-
-
-def running_mean_groups(df: DataFrame, by: list[str], position: str, tolerance: float, name: str = "line") -> DataFrame:
-    """Exact form: a value joins the group while it is near the running mean of the group.
-    One call sees one page."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-    def assign(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values(position, kind="stable")
-        ids, group, total, count = [], 0, 0.0, 0
-        for value in page[position]:
-            if not count or abs(value - total / count) > tolerance:
-                group, total, count = group + 1, 0.0, 0
-            total, count = total + value, count + 1
-            ids.append(group)
-        return page.assign(**{name: ids})
-
-    return df.groupBy(*by).applyInPandas(assign, f"{fields}, {name} int")
+    """Lines of a page: words from top to bottom join the last line while their centre is near its running mean."""
+    return running_mean_groups(words, PAGE, center_y(), tolerance, "line", ["y0", "x0", "pos"])
 
 
 def reading_text(words: DataFrame, by: list[str], line: str = "line") -> DataFrame:
@@ -313,25 +297,13 @@ def section_headers(words: DataFrame, band: float = 14.0, distance: float = 18.0
 
 
 def distinct_bands(bands: DataFrame, share: float = 0.72) -> DataFrame:
-    """Row bands without their near copies: of bands whose vertical overlap is at least
-    ``share`` of the smaller one the widest stays. One call sees one page."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in bands.schema.fields)
-
-    def keep(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.assign(_w=page["x1"] - page["x0"]).sort_values(["_w", "y0"], ascending=[False, True], kind="stable")
-        kept = []
-        for i, r in page.iterrows():
-            tall = r["y1"] - r["y0"]
-            if all(min(r["y1"], k["y1"]) - max(r["y0"], k["y0"]) < share * max(min(tall, k["y1"] - k["y0"]), 1e-9) for _, k in kept):
-                kept.append((i, r))
-        return page.loc[[i for i, _ in kept]].drop(columns="_w").sort_values("y0")
-
-    return bands.groupBy(*PAGE).applyInPandas(keep, fields)
+    """Row bands of each page without their near copies."""
+    return _distinct_bands(bands, PAGE, share)
 
 
 def fallback_bands(nodes: DataFrame, tolerance: float = 15.0, margin: float = 6.0) -> DataFrame:
-    """Bands of at least two nodes whose centres lie within the tolerance."""
-    d = gap_groups(nodes, ["doc_id"], F.col("cy"), ["node_id"], tolerance, "band")
+    """Bands of at least two nodes whose centres lie near the running mean of the band."""
+    d = running_mean_groups(nodes, ["doc_id"], "cy", tolerance, "band", ["cy", "node_id"])
     return d.groupBy("doc_id", "band").agg(F.count("*").alias("n"), (F.min("y") - margin).alias("top"), (F.max(F.col("y") + F.col("height")) + margin).alias("bottom")).filter("n >= 2")
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import folds as L
 from ..operators import layout as G
 from . import bindings as B
-from .registry import query, table
+from .registry import pick, query, table
 
 W = f"WITH {B.LAYOUT_SQL}"
 cnt = lambda: F.count("*").alias("n")
@@ -289,3 +291,111 @@ def g31(spark, d):
     w = B.layout_words(spark, d)
     w = w.withColumn("text", F.when(F.length("text") == 3, F.concat(F.lit("AB-"), "text", F.col("doc_id").cast("string"))).otherwise(F.col("text")))
     return G.code_anchors(w, 20.0, 95.0).drop("page_no")
+
+
+# ---- folds over drifting and overlapping input ------------------------------------------------
+
+
+def _drifting(spark, d):
+    """Lines that sink to the right, by another slope in each document, with words of three heights."""
+    w = B.layout_words(spark, d)
+    y = 20.0 + 12.0 * F.floor(F.col("pos") / 20) + (F.col("pos") % 20) * (F.col("doc_id") % 3) * 0.375
+    return w.withColumn("y0", y).withColumn("y1", y + 10 + F.col("pos") % 3)
+
+
+def _fold_sql(rows, tolerance):
+    """The fold as one list reduction a page: the state is (sum, count, starts of the groups)."""
+    return f"""rows_v AS ({rows}), l AS (SELECT doc_id, list(CAST(v AS DOUBLE) ORDER BY o) AS m FROM rows_v GROUP BY doc_id),
+f AS (SELECT doc_id, m, list_reduce([{{s: v, n: 1, i: 1, starts: [1]}} FOR v IN m], lambda a, x: CASE WHEN abs(x.s - a.s / a.n) <= {tolerance}
+  THEN {{s: a.s + x.s, n: a.n + 1, i: a.i + 1, starts: a.starts}} ELSE {{s: x.s, n: 1, i: a.i + 1, starts: list_append(a.starts, a.i + 1)}} END).starts AS starts FROM l),
+g AS (SELECT doc_id, unnest(range(1, len(starts) + 1)) AS line, unnest(starts) AS a, unnest(list_append(starts[2:], len(m) + 1)) AS b, m FROM f)"""
+
+
+DRIFT = """SELECT doc_id, pos, y0, x0, y0 + (10 + pos % 3) / 2 AS cy FROM (SELECT * EXCLUDE (y0, y1), 20.0::DOUBLE + 12.0 * (pos // 20) + (pos % 20) * (doc_id % 3) * 0.375 AS y0 FROM layout_word_v)"""
+
+
+@query("G01_drifting_lines", W + ", " + _fold_sql(f"SELECT doc_id, cy AS v, (y0, x0, pos) AS o FROM ({DRIFT})", 3.0) + """ SELECT doc_id, line::INT AS line, b - a AS n, round(list_avg(m[a:b - 1]), 6) AS center FROM g""")
+def g01_drifting(spark, d):
+    lines = G.line_groups(_drifting(spark, d).withColumn("cy", G.center_y()))
+    return lines.groupBy("doc_id", "line").agg(cnt(), F.round(F.avg("cy"), 6).alias("center"))
+
+
+@query("G18_running_centres", W + ", " + _fold_sql("SELECT doc_id, x1 AS v, (x1, pos) AS o FROM layout_word_v", 24.0) + " SELECT doc_id, round(list_avg(m[a:b - 1]), 6) AS center, b - a AS n FROM g WHERE b - a >= 3")
+def g18_running(spark, d):
+    return L.running_clusters(B.layout_words(spark, d).select("doc_id", "x1"), ["doc_id"], "x1").drop("cluster")
+
+
+@query("G24_drifting_bands", W + ", " + _fold_sql(f"SELECT doc_id, cy AS v, (cy, pos) AS o FROM ({DRIFT})", 15.0) + " SELECT doc_id, line::INT - 1 AS line, b - a AS n, round(list_avg(m[a:b - 1]), 6) AS center FROM g WHERE b - a >= 2")
+def g24_drifting(spark, d):
+    w = _drifting(spark, d).withColumn("cy", G.center_y())
+    d = L.running_mean_groups(w, ["doc_id"], "cy", 15.0, "band", ["cy", "pos"])
+    return d.groupBy("doc_id", (F.col("band") - 1).alias("line")).agg(cnt(), F.round(F.avg("cy"), 6).alias("center")).filter("n >= 2")
+
+
+#: Three bands a part in a chain: the second overlaps the first, the third only the second; a flat one is below the floor.
+@query("G23_band_chains", """WITH RECURSIVE b AS (SELECT p_partkey AS doc_id, i, CAST(100 + 8 * i + p_size % 5 * i AS DOUBLE) AS y0, CAST(130 + 8 * i + p_size % 5 * i AS DOUBLE) AS y1, CAST(300 + (p_partkey * (i + 1)) % 7 * 10 AS DOUBLE) AS w FROM part, (SELECT unnest(range(6)) AS i)),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY y0, -w, i) AS k FROM b),
+s AS (SELECT doc_id, k, [{i: i, y0: y0, y1: y1, w: w}] AS kept FROM o WHERE k = 1 UNION ALL
+ SELECT doc_id, k, CASE WHEN hit IS NULL THEN list_append(kept, x) WHEN x.w > kept[hit].w THEN list_concat(list_append(kept[1:hit - 1], x), kept[hit + 1:]) ELSE kept END FROM (
+ SELECT s.doc_id, o.k, s.kept, {i: o.i, y0: o.y0, y1: o.y1, w: o.w} AS x, list_position([greatest(0, least(o.y1, e.y1) - greatest(o.y0, e.y0)) / greatest(1.0, least(o.y1 - o.y0, e.y1 - e.y0)) >= 0.72 FOR e IN s.kept], true) AS hit
+ FROM s JOIN o ON o.doc_id = s.doc_id AND o.k = s.k + 1))
+SELECT doc_id, CAST(e.i AS INTEGER) AS i, e.y0 AS y0, e.y1 - e.y0 AS height FROM (SELECT doc_id, unnest(kept) AS e FROM s WHERE k = 6)""")
+def g23_chains(spark, d):
+    k, i = F.col("p_partkey"), F.col("i")
+    b = table(spark, d, "part").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(5))))
+    top = (100 + 8 * i + F.col("p_size") % 5 * i).cast("double")
+    b = b.select(k.alias("doc_id"), F.lit(1).alias("page_no"), i.cast("int").alias("i"), F.lit(0.0).alias("x0"),
+                 (300 + (k * (i + 1)) % 7 * 10).cast("double").alias("x1"), top.alias("y0"), (top + 30).alias("y1"))
+    return G.distinct_bands(b).select("doc_id", "i", "y0", (F.col("y1") - F.col("y0")).alias("height"))
+
+
+def _fragments(spark, d):
+    """Line items of an order as lines of a phase column: whole, with a plus, parts alone and codes alone."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    n, w = F.col("l_partkey"), Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    y = F.sum(pick("l_suppkey", [8.0, 9.0, 14.0, 8.5, 61.0])).over(w)
+    name, item = F.concat(F.lit("drug"), n % 3), F.concat(F.lit("for "), n % 4)
+    asset = F.when(n % 7 == 0, F.concat(name, F.lit(" +"))).when((n % 7).isin(1, 2, 3), name).otherwise("")
+    return li.select(F.col("l_orderkey").alias("doc_id"), y.alias("y"), asset.alias("asset"), F.when((n % 7).isin(0, 1, 2, 4, 5), item).otherwise("").alias("indication"),
+                     F.when((n % 7 == 6) | (n % 11 == 0), F.concat(F.lit("AB-10"), n % 2)).otherwise("").alias("code"))
+
+
+@query("G21_visual_rows", """WITH RECURSIVE x0 AS (SELECT l_orderkey AS doc_id, l_linenumber, l_partkey AS n, l_suppkey,
+  sum([8.0, 9.0, 14.0, 8.5, 61.0][1 + l_suppkey % 5]::DOUBLE) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS y FROM lineitem),
+x1 AS (SELECT doc_id, y, CASE WHEN n % 7 = 0 THEN 'drug' || n % 3 || ' +' WHEN n % 7 < 4 THEN 'drug' || n % 3 ELSE '' END AS a, CASE WHEN n % 7 IN (0, 1, 2, 4, 5) THEN 'for ' || n % 4 ELSE '' END AS d,
+  CASE WHEN n % 7 = 6 OR n % 11 = 0 THEN 'AB-10' || n % 2 ELSE '' END AS c FROM x0),
+x2 AS (SELECT *, row_number() OVER w AS k, y - lag(y) OVER w AS gap FROM x1 WHERE a <> '' OR d <> '' OR c <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY y, a, d, c)),
+x AS (SELECT x2.*, a <> '' AND d <> '' AS whole FROM x2 LEFT JOIN (SELECT doc_id, min(k) AS k0 FROM x2 WHERE gap > 60 AND k > 3 GROUP BY 1) USING (doc_id) WHERE k0 IS NULL OR k < k0),
+s AS (SELECT doc_id, 0::BIGINT AS k, '' AS mode, 0.0::DOUBLE AS y0, 0.0::DOUBLE AS y1, '' AS a, '' AS d, '' AS c, 0 AS shut, 0 AS bad, 0.0::DOUBLE AS p0, 0.0::DOUBLE AS p1, '' AS pa, '' AS pd, '' AS pc FROM x WHERE k = 1
+ UNION ALL SELECT doc_id, k, CASE WHEN plus THEN 'tail' WHEN tail THEN 'shut' WHEN run THEN 'run' WHEN whole THEN CASE WHEN xa LIKE '%+' THEN 'plus' ELSE 'tail' END WHEN xa = '' AND xd = '' THEN '' ELSE 'run' END,
+   CASE WHEN j THEN y0 ELSE y END, y, CASE WHEN tail AND NOT plus THEN a WHEN j THEN trim(a || ' ' || xa) ELSE xa END, CASE WHEN j THEN trim(d || ' ' || xd) ELSE xd END,
+   CASE WHEN tail AND NOT plus THEN c WHEN j THEN CASE WHEN c <> '' THEN c ELSE xc END ELSE xc END, CASE WHEN NOT j AND mode <> '' AND a <> '' AND d <> '' THEN 1 ELSE 0 END, CASE WHEN NOT j AND mode <> '' AND (a = '' OR d = '') THEN 1 ELSE 0 END, y0, y1, a, d, c
+  FROM (SELECT *, plus OR tail OR run AS j FROM (SELECT s.*  EXCLUDE (k, shut, bad, p0, p1, pa, pd, pc), x.k, x.y, x.a AS xa, x.d AS xd, x.c AS xc, whole,
+    s.mode = 'plus' AND x.y - s.y1 <= 14.5 AND (x.a <> '' OR x.d <> '') AS plus, s.mode IN ('plus', 'tail') AND x.y - s.y1 <= 9 AND x.a = '' AND x.d <> '' AND x.c = '' AS tail,
+    s.mode = 'run' AND NOT whole AND x.y - s.y1 <= 8.5 AS run FROM s JOIN x ON x.doc_id = s.doc_id AND x.k = s.k + 1))),
+z AS (SELECT doc_id, k, p0 AS y0, p1 AS y1, pa AS a, pd AS d, pc AS c FROM s WHERE shut = 1 UNION ALL
+  SELECT doc_id, k + 1, y0, y1, a, d, c FROM (SELECT *, max(k) OVER (PARTITION BY doc_id) AS last FROM s) WHERE k = last AND mode <> '' AND a <> '' AND d <> ''),
+t AS (SELECT *, split_part(regexp_replace(lower(a), '[^a-z0-9]+', ' ', 'g'), ' ', 1) AS root, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS ordinal FROM z),
+u AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY ordinal) AS g FROM (SELECT *, CASE WHEN lag(root) OVER (PARTITION BY doc_id ORDER BY ordinal) = root THEN 0 ELSE 1 END AS fresh FROM t)),
+r AS (SELECT doc_id, g, min(y0) - 8.5 AS low, max(y1) + 8.5 AS high FROM u GROUP BY 1, 2),
+m AS (SELECT r.doc_id, g, min(c) AS sole FROM r JOIN x2 ON x2.doc_id = r.doc_id AND x2.c <> '' AND x2.y BETWEEN low AND high GROUP BY 1, 2 HAVING count(DISTINCT c) = 1)
+SELECT doc_id, ordinal, y0, y1, a AS asset, d AS indication, CASE WHEN c <> '' THEN c ELSE coalesce(sole, '') END AS code FROM u LEFT JOIN m USING (doc_id, g)""")
+def g21_rows(spark, d):
+    out = L.visual_rows(_fragments(spark, d), ["doc_id"])
+    return out.select("doc_id", F.col("ordinal").cast("long").alias("ordinal"), "y0", "y1", "asset", "indication", "code")
+
+
+@query("G11_continuation_groups", W + """, r AS (SELECT doc_id, pos, y0::DOUBLE AS y, length(text) % 2 AS kind, 'C' || pos % 3 AS code FROM layout_word_v WHERE pos % 20 = 0),
+a AS (SELECT doc_id, (y0 + 4)::DOUBLE AS y, 'A-' || pos AS code FROM layout_word_v WHERE pos % 20 = 5 AND length(text) % 5 = 0),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY y) AS grp FROM (SELECT *, CASE WHEN lag(kind) OVER w = kind AND y - lag(y) OVER w <= 24 THEN 0 ELSE 1 END AS fresh FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY y))),
+s AS (SELECT doc_id, grp, min(y) AS low, max(y) AS high, count(*) AS n, count(DISTINCT code) AS codes, min(code) AS own FROM g GROUP BY 1, 2 HAVING count(*) >= 2),
+p AS (SELECT s.doc_id, grp, codes, own, a.code, CASE WHEN a.y > high THEN a.y - high WHEN a.y < low THEN low - a.y ELSE 0 END AS dist, a.y FROM s JOIN a ON a.doc_id = s.doc_id AND a.y BETWEEN low - 60 AND high + 60),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, grp ORDER BY dist, y) AS i, lead(dist) OVER (PARTITION BY doc_id, grp ORDER BY dist, y) AS second FROM p),
+c AS (SELECT doc_id, grp, code AS chosen FROM k WHERE i = 1 AND dist <= 35 AND dist + 12 <= coalesce(second, 999) AND NOT (codes <= 1 AND lower(code) = lower(own)))
+SELECT doc_id, pos AS row_id, coalesce(chosen, code) AS code, chosen IS NOT NULL AS repaired FROM g LEFT JOIN c USING (doc_id, grp)""")
+def g11_groups(spark, d):
+    w = B.layout_words(spark, d)
+    rows = w.filter("pos % 20 = 0").select("doc_id", F.col("pos").alias("row_id"), F.col("y0").alias("y"), (F.length("text") % 2).cast("string").alias("indication"),
+                                            F.lit("Phase 1").alias("phase"), F.concat(F.lit("C"), F.col("pos") % 3).alias("code"))
+    anchors = w.filter("pos % 20 = 5 and length(text) % 5 = 0").select("doc_id", (F.col("y0") + 4).alias("y"), F.concat(F.lit("A-"), "pos").alias("code"))
+    return L.continuation_repairs(rows, anchors, ["doc_id"])
