@@ -238,9 +238,16 @@ def written_at(df: DataFrame, spark: SparkSession) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def saved(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """df as a Parquet table in the shared folder, read again with its own schema."""
+    return written_at(df, spark)[0]
+
+
 def written(df: DataFrame, spark: SparkSession) -> DataFrame:
     """df as a Parquet table in the shared folder, read again."""
-    return written_at(df, spark)[0]
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def discard(spark: SparkSession, path: str) -> None:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import release, written
+from .common import release, saved
 
 RESULTS = ("size", "law", "shard", "slot", "grown_shard")
 KEY = ("_k1", "_k2", "_k3")
@@ -167,7 +167,7 @@ def histogram_shards(docs: DataFrame, shards: int = 24, text: str = "text", over
     plain = [f.name for f in docs.schema.fields if f.name in keep and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     body = F.coalesce(F.col(text), F.lit(""))
     # Written once: the numbers of the rows must be the same in every round and in the exchange.
-    rows = written(docs.select(
+    rows = saved(docs.select(
         *keep, (F.octet_length(body) + F.lit(overhead).cast("long")).cast("long").alias("size"), F.xxhash64(body).alias("_k1"),
         F.xxhash64(*[F.col(f"`{c}`") for c in plain]).alias("_k2"), F.monotonically_increasing_id().alias("_k3")), spark)
     keys = rows.select("size", *KEY)

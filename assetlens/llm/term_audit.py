@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, batches, bound_batches, discard, release, spread_starts, word_hashes, words, written, written_at
+from .common import LOWER, batches, bound_batches, discard, release, saved, spread_starts, word_hashes, words, written_at
 
 UNIT = 1_000_000_000
 #: Runs of bytes other than these are terms.
@@ -237,9 +237,9 @@ def term_audit(docs: DataFrame, least_docs: int = 3, top: int = 200, tile: int =
     spark = docs.sparkSession
     docs = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")))
     named = docs.groupBy("lang", "source").count().select("lang", "source")
-    langs = written(named.select("lang").distinct().withColumn("lid", F.monotonically_increasing_id()), spark)
+    langs = saved(named.select("lang").distinct().withColumn("lid", F.monotonically_increasing_id()), spark)
     sid = (F.row_number().over(Window.partitionBy("lid").orderBy("source")) - 1).cast("long")
-    names = written(named.join(langs, "lang").withColumn("sid", sid), spark)
+    names = saved(named.join(langs, "lang").withColumn("sid", sid), spark)
     split: list[int] = []
     while True:
         told, path = written_at(counted(docs, (1 << bits) - 1, split, batch_bytes), spark)
@@ -248,11 +248,11 @@ def term_audit(docs: DataFrame, least_docs: int = 3, top: int = 200, tile: int =
         whole = Window.partitionBy("lid", "digest")
         counts = counts.withColumns({"lang_n": F.sum("n").over(whole), "lang_df": F.sum("df").over(whole),
                                      "lead": F.row_number().over(whole.orderBy("sid")) == 1})
-        counts = written(counts.where(F.col("lang_df") >= least_docs).select("lid", "sid", "digest", "n", "lang_n", "lead"), spark)
+        counts = saved(counts.where(F.col("lang_df") >= least_docs).select("lid", "sid", "digest", "n", "lang_n", "lead"), spark)
         # Texts are reduced in each batch before they move, once for all langs.
         high = F.max(F.coalesce("high", "low"))
         texts = told.where("kind = 1").repartition("digest").groupBy("digest").agg(F.min("low").alias("low"), high.alias("high"))
-        texts = written(texts.join(counts.select("digest").distinct(), "digest", "left_semi"), spark)
+        texts = saved(texts.join(counts.select("digest").distinct(), "digest", "left_semi"), spark)
         discard(spark, path)
         shared = [r[0] for r in texts.where("low <> high").select("digest").toLocalIterator()]
         if not shared:
@@ -262,7 +262,7 @@ def term_audit(docs: DataFrame, least_docs: int = 3, top: int = 200, tile: int =
     sums = counts.groupBy("lid", "sid").agg(F.sum("n").alias("total"))
     groups = names.select("lid", "sid").join(langs, "lid", "left").join(sums, ["lid", "sid"], "left").fillna(0, ["lang_total", "v", "total"])
     p0 = share(F.lit(0).cast("long"), F.col("total"), F.greatest("v", F.lit(1)))
-    groups = written(groups.withColumn("p0", F.when(F.col("v") > 0, p0).otherwise(F.lit(1))), spark)
+    groups = saved(groups.withColumn("p0", F.when(F.col("v") > 0, p0).otherwise(F.lit(1))), spark)
     kept = counts.join(groups.select("lid", "sid", "total", "lang_total", "v"), ["lid", "sid"])
     kept = kept.withColumn("p", share(F.col("n"), F.col("total"), F.col("v")))
     order = lambda *by: Window.partitionBy(*by).orderBy(F.desc("value"), "item")
