@@ -48,7 +48,7 @@ def running_mean_groups(df: DataFrame, by: list[str], position: Column | str, to
         o = Ordered(d, by, order, rows_per_chunk).running_max_before(F.col("_y"), "_top")
         d = o.islands(F.coalesce(F.col("_y") - F.col("_top") > tolerance, F.lit(True)), "_run").frame().drop("_top")
         keys = [*by, "_run"]
-    pages = page_arrays(d, keys, [F.col(c) for c in order], _y=F.col("_y"), row=F.struct(*columns))
+    pages = page_arrays(d, keys, [F.col(c) for c in order], _y=F.col("_y"), _row=F.struct(*columns))
     pages = pages.withColumn("starts", running_mean_starts(F.col("m"), tolerance))
     # Slices of the page, one a group, then their rows.
     nth = F.sequence(F.lit(1), F.size("starts"))
@@ -57,7 +57,7 @@ def running_mean_groups(df: DataFrame, by: list[str], position: Column | str, to
     groups = pages.select(*keys, F.explode(parts).alias("p")).select(*keys, "p.g", "p.m")
     if rows_per_chunk:
         groups = Ordered(groups, by, ["_run", "g"], rows_per_chunk).ordinal("g2").frame().drop("g").withColumnRenamed("g2", "g")
-    return groups.select(F.col("g").cast("int").alias(name), F.explode("m.row").alias("row")).select("row.*", name)
+    return groups.select(F.col("g").cast("int").alias(name), F.explode("m._row").alias("_row")).select("_row.*", name)
 
 
 def running_clusters(df: DataFrame, by: list[str], x: str, tolerance: float = 24.0, least: int = 3) -> DataFrame:

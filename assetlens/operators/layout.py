@@ -16,6 +16,7 @@ from ..functions.text import clean
 from .folds import distinct_bands as _distinct_bands
 from .folds import running_mean_groups
 from .ordered import Ordered
+from .spatial import contained, in_ranges, near_pairs
 
 PAGE = ["doc_id", "page_no"]
 
@@ -311,8 +312,7 @@ def contained_words(words: DataFrame, rects: DataFrame) -> DataFrame:
     """Words whose centre lies in a rectangle of the same page."""
     w = words.withColumn("cx", (F.col("x0") + F.col("x1")) / 2).withColumn("cy", center_y())
     r = rects.select(*PAGE, "rect_id", F.col("x0").alias("rx0"), F.col("x1").alias("rx1"), F.col("y0").alias("ry0"), F.col("y1").alias("ry1"))
-    hit = F.col("cx").between(F.col("rx0"), F.col("rx1")) & F.col("cy").between(F.col("ry0"), F.col("ry1"))
-    return w.join(r, PAGE).filter(hit).drop("rx0", "rx1", "ry0", "ry1")
+    return contained(w, r, PAGE).drop("rx0", "rx1", "ry0", "ry1")
 
 
 def rect_rows(words: DataFrame, rects: DataFrame, style: Column) -> DataFrame:
@@ -325,11 +325,10 @@ def rect_rows(words: DataFrame, rects: DataFrame, style: Column) -> DataFrame:
 def nearest_node(probes: DataFrame, nodes: DataFrame, limit: float, after: bool = False) -> DataFrame:
     """Nearest node by vertical distance per probe of the same document, smaller y on ties."""
     n = nodes.select("doc_id", F.col("y").alias("ny"), "text")
-    d = probes.select("doc_id", "probe_id", "y").join(n, "doc_id")
-    ok = F.abs(F.col("ny") - F.col("y")) <= limit
+    d = near_pairs(probes.select("doc_id", "probe_id", "y"), n, ["doc_id"], "y", "ny", limit)
     if after:
-        ok = ok & (F.col("ny") + 1 >= F.col("y"))
-    return d.filter(ok).groupBy("doc_id", "probe_id").agg(F.min(F.struct(F.abs(F.col("ny") - F.col("y")).alias("d"), "ny", "text")).alias("m")).select(
+        d = d.filter(F.col("ny") + 1 >= F.col("y"))
+    return d.groupBy("doc_id", "probe_id").agg(F.min(F.struct(F.abs(F.col("ny") - F.col("y")).alias("d"), "ny", "text")).alias("m")).select(
         "doc_id", "probe_id", F.col("m.ny").alias("node_y"), F.col("m.text").alias("text"))
 
 
@@ -364,7 +363,7 @@ def layout_programmes(nodes: DataFrame, bands: DataFrame, headers: DataFrame) ->
     within 180; the first identity text is the asset and the nearest text at least 28 to the
     right of it the indication."""
     b = bands.select("doc_id", "band", "top", "bottom")
-    d = nodes.join(b, "doc_id").filter(F.col("cy").between(F.col("top"), F.col("bottom")))
+    d = in_ranges(nodes, b, ["doc_id"], F.col("cy"), "top", "bottom", 64.0)
     d = d.withColumn("own_phase", F.nullif(P.explicit("text"), F.lit(""))).withColumn("ident", I.is_identity_candidate("text"))
     first = d.filter("ident").groupBy("doc_id", "band").agg(F.min(F.struct("x", "y", "text")).alias("a"))
     text = d.groupBy("doc_id", "band").agg(F.max("own_phase").alias("text_phase"), F.max("x").alias("right"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import folds as L
 from ..operators import layout as G
+from ..operators import spatial as S
 from . import bindings as B
 from .registry import pick, query, table
 
@@ -399,3 +400,35 @@ def g11_groups(spark, d):
                                             F.lit("Phase 1").alias("phase"), F.concat(F.lit("C"), F.col("pos") % 3).alias("code"))
     anchors = w.filter("pos % 20 = 5 and length(text) % 5 = 0").select("doc_id", (F.col("y0") + 4).alias("y"), F.concat(F.lit("A-"), "pos").alias("code"))
     return L.continuation_repairs(rows, anchors, ["doc_id"])
+
+
+# ---- grid rows and chart cells ---------------------------------------------------------------------
+
+
+@query("G25_grid_rows", """WITH e AS (SELECT *, 160 + p_partkey % 7 * 100 AS edge FROM part), h AS (SELECT unnest([{x: 310, p: 'Phase 1'}, {x: 480, p: 'Phase 2'}, {x: 650, p: 'Phase 3'}], recursive := true)),
+n AS (SELECT p_partkey, arg_min(p, (abs(x - edge), x)) AS near, min(abs(x - edge)) AS d FROM e, h WHERE x < 650 OR p_partkey % 3 = 0 GROUP BY 1)
+SELECT p_partkey AS doc_id, 1 AS band, p_name AS asset, p_brand AS indication, CASE WHEN p_partkey % 4 = 0 THEN 'Phase 1' ELSE near END AS phase,
+  CASE WHEN p_partkey % 4 = 0 THEN 'SOURCE_LAYOUT_TEXT' ELSE 'SOURCE_LAYOUT_GEOMETRY' END AS evidence FROM e JOIN n USING (p_partkey) WHERE p_partkey % 4 = 0 OR d <= 180""")
+def g25_grid(spark, d):
+    k, part = F.col("p_partkey"), table(spark, d, "part")
+    node = lambda text, x, cy, width=40.0, bar=False: F.struct(text.alias("text"), F.lit(float(x)).alias("x"), F.lit(float(cy)).alias("cy"), (F.lit(width) if isinstance(width, float) else width).cast("double").alias("width"), F.lit(bar).alias("structural"))
+    when = lambda cond, text: F.when(cond, text).otherwise("")
+    nodes = part.select(k.alias("doc_id"), F.explode(F.array(
+        node(F.lit("Phase 1"), 290, 20), node(F.lit("Phase 1"), 300, 40), node(F.lit("Phase 2"), 460, 24), node(when(k % 3 == 0, "Phase 3"), 630, 30), node(F.lit("Phase 3"), 460, 300),
+        node(F.col("p_name"), 40, 105), node(F.col("p_name"), 45, 106), node(F.col("p_brand"), 140, 104), node(F.lit("far"), 200, 104), node(F.lit(""), 100, 110, 60 + k % 7 * 100, True),
+        node(when(k % 4 == 0, "Preclinical"), 690, 105), node(when(k % 4 == 0, "Phase 1"), 720, 105), node(F.col("p_name"), 40, 145))).alias("n")).select("doc_id", "n.*")
+    nodes = nodes.withColumns({"y": F.col("cy") - 5, "cx": F.when(F.col("structural"), F.col("x")).otherwise(F.col("x") + 20)})
+    bands = part.select(k.alias("doc_id"), F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.lit(t).alias("top"), F.lit(t + 30).alias("bottom")) for b, t in ((1, 90.0), (2, 130.0))])).alias("b")).select("doc_id", "b.*")
+    return S.grid_rows(nodes, bands, ["doc_id"])
+
+
+@query("G28_cell_programmes", W + """, v AS (SELECT *, pos // 20 AS rect_id FROM layout_word_v WHERE regexp_matches(text, '^[a-z]{1,12}$')),
+r AS (SELECT doc_id, rect_id, min(x0) AS a, max(x0) AS b, min(y0) AS c, max(y1) AS d FROM v WHERE rect_id % 2 = 0 GROUP BY 1, 2),
+t AS (SELECT v.doc_id, r.rect_id, any_value((a + b) / 2 / (340 + 100 * (v.doc_id % 4))) AS share, any_value((c + d) / 2) AS cy, string_agg(text, ' ' ORDER BY pos) FILTER (length(text) <= 5) AS asset, string_agg(text, ' ' ORDER BY pos) FILTER (length(text) > 5) AS indication
+  FROM v JOIN r ON v.doc_id = r.doc_id AND v.rect_id = r.rect_id AND (x0 + x1) / 2 BETWEEN a - 1 AND b + 1 GROUP BY 1, 2)
+SELECT doc_id, rect_id, asset, indication, CASE WHEN share < 0.375 THEN 'Phase 2' WHEN share < 0.855 THEN 'Phase 3' WHEN cy < 200 THEN 'Approved' ELSE 'Reg Review' END AS status FROM t WHERE asset IS NOT NULL AND indication IS NOT NULL""")
+def g28_cells(spark, d):
+    w = B.layout_words(spark, d).filter(F.col("text").rlike("^[a-z]{1,12}$")).withColumn("rect_id", F.floor(F.col("pos") / 20))
+    r = w.filter("rect_id % 2 = 0").groupBy("doc_id", "rect_id").agg(F.min("x0").alias("x0"), F.max("x0").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+    pages = table(spark, d, "documents").select("doc_id", (340 + 100 * (F.col("doc_id") % 4)).alias("width"), F.lit(200.0).alias("approved_y"))
+    return S.cell_programmes(w.drop("rect_id"), r, pages, ["doc_id"], F.length("text") > 5)
