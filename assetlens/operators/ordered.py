@@ -70,10 +70,13 @@ class Ordered:
         return counted.filter("_parts > 1").select("_chunk", *self.keys, expr(w).alias(name))
 
     def _attach(self, df: DataFrame, carry: DataFrame) -> DataFrame:
-        cond = df["_chunk"] == carry["_chunk"]
-        for k in self.keys:
-            cond = cond & df[k].eqNullSafe(carry[k])
-        return df.join(F.broadcast(carry), cond, "left").drop(carry["_chunk"], *[carry[k] for k in self.keys])
+        # Both sides come from one frame, so the carry's columns get names of their own.
+        own = {c: f"_carried_{i}" for i, c in enumerate(["_chunk", *self.keys])}
+        carry = carry.withColumnsRenamed(own)
+        cond = F.lit(True)
+        for c, name in own.items():
+            cond = cond & F.col(c).eqNullSafe(F.col(name))
+        return df.join(F.broadcast(carry), cond, "left").drop(*own.values())
 
     def _next(self, df: DataFrame) -> "Ordered":
         out = object.__new__(Ordered)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from ..operators import folds as L
+from ..operators import headers as H
 from ..operators import layout as G
 from ..operators import spatial as S
 from . import bindings as B
@@ -432,3 +433,64 @@ def g28_cells(spark, d):
     r = w.filter("rect_id % 2 = 0").groupBy("doc_id", "rect_id").agg(F.min("x0").alias("x0"), F.max("x0").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"))
     pages = table(spark, d, "documents").select("doc_id", (340 + 100 * (F.col("doc_id") % 4)).alias("width"), F.lit(200.0).alias("approved_y"))
     return S.cell_programmes(w.drop("rect_id"), r, pages, ["doc_id"], F.length("text") > 5)
+
+
+# ---- headers, pages that follow, characters -----------------------------------------------------------
+
+
+def _header_words(spark, d):
+    """Three pages a part: the header is printed on the first; the third has too few stage lines for every fifth part."""
+    k = F.col("p_partkey")
+    word = lambda t, x, y, page=1: F.struct(F.lit(page).alias("page_no"), (t if isinstance(t, Column) else F.lit(t)).alias("text"), F.lit(float(x)).alias("x0"), (F.lit(y) if not isinstance(y, Column) else y).cast("double").alias("y0"))
+    slip = (k % 4) * 10
+    words = [word("Development", 40, 100), word("Type", 120, 104), word("Indication", 200, 100 + k % 3), word("Region", 300, 100 + slip), word("Country", 320, 101), word("Stage", 400, 100),
+             word("Phase", 390, 160), word("Indications", 30, 100), word(F.col("p_brand"), 40, 140)]
+    words += [word(F.when((k % 5 == 0) & F.lit(page == 3 and y == 60), "x").otherwise("Phase " + str(1 + y % 3)), 395, y, page) for page in (2, 3) for y in (30, 60)]
+    w = table(spark, d, "part").select(k.alias("doc_id"), F.posexplode(F.array(*words)).alias("pos", "w")).select("doc_id", "pos", "w.*")
+    return w.withColumns({"x1": F.col("x0") + 30, "y1": F.col("y0") + 10})
+
+
+@query("G03_development_header", """SELECT p_partkey AS doc_id, 1 AS page_no, greatest(105 + p_partkey % 3, CASE WHEN p_partkey % 4 = 0 THEN 105 ELSE 106 END)::DOUBLE AS header_y, 40.0::DOUBLE AS asset_x, 120.0::DOUBLE AS asset_right_x, 200.0::DOUBLE AS indication_x,
+ CASE WHEN p_partkey % 4 = 0 THEN 300.0 ELSE 320.0 END::DOUBLE AS region_x, 400.0::DOUBLE AS stage_x FROM part""")
+def g03_development(spark, d):
+    return H.development_header(_header_words(spark, d), G.PAGE)
+
+
+@query("G10_carried_headers", """SELECT p_partkey AS doc_id, page_no, CASE page_no WHEN 1 THEN greatest(105 + p_partkey % 3, CASE WHEN p_partkey % 4 = 0 THEN 105 ELSE 106 END) ELSE 0 END::DOUBLE AS header_y, page_no > 1 AS inherited, CASE WHEN p_partkey % 4 = 0 THEN 300.0 ELSE 320.0 END::DOUBLE AS region_x
+FROM part, (SELECT unnest([1, 2, 3]) AS page_no) WHERE page_no < 3 OR p_partkey % 5 > 0""")
+def g10_headers(spark, d):
+    w = _header_words(spark, d)
+    out = H.carried_headers(w, H.development_header(w, G.PAGE), ["doc_id"], "page_no")
+    return out.select("doc_id", "page_no", "header_y", "inherited", "region_x")
+
+
+@query("G03_column_header", """SELECT p_partkey AS doc_id, 110.0::DOUBLE + CASE WHEN p_partkey % 3 = 0 THEN 9 ELSE 0 END AS header_bottom, 40.0::DOUBLE AS x_compound, 120.0::DOUBLE AS x_mechanism, 230.0::DOUBLE AS x_indication, 300.0::DOUBLE AS x_phase, 400.0::DOUBLE AS x_submission FROM part WHERE p_partkey % 7 > 0""")
+def g03_columns(spark, d):
+    k = F.col("p_partkey")
+    word = lambda t, x, y: F.struct((t if isinstance(t, Column) else F.lit(t)).alias("text"), F.lit(float(x)).alias("x0"), (F.lit(y) if not isinstance(y, Column) else y).cast("double").alias("y0"))
+    words = [word("Phase", 60, 40), word("Compound", 40, 100), word("MECHANISM", 120, 100), word("indication", 200, 100), word("Indication", 230, 100), word("Phase", 300, F.when(k % 3 == 0, 109).otherwise(100)),
+             word(F.when(k % 7 == 0, "other").otherwise("Submission"), 400, 100), word("Compound", 50, 300)]
+    w = table(spark, d, "part").select(k.alias("doc_id"), F.posexplode(F.array(*words)).alias("pos", "w")).select("doc_id", "pos", "w.*")
+    return H.column_header(w.withColumns({"x1": F.col("x0") + 30, "y1": F.col("y0") + 10}), ["doc_id"])
+
+
+@query("G10_carried_indications", """WITH r AS (SELECT l_orderkey AS doc_id, l_linenumber AS row_id, l_partkey AS p, l_suppkey AS s, l_partkey % 2 AS code, CASE WHEN l_suppkey % 3 = 0 THEN 'for ' || l_suppkey % 4 END AS g FROM lineitem)
+SELECT doc_id, row_id, p, s, code, coalesce(last_value(g IGNORE NULLS) OVER (PARTITION BY doc_id, code ORDER BY row_id, p, s ROWS UNBOUNDED PRECEDING),
+  CASE WHEN min(g) OVER (PARTITION BY doc_id, code) = max(g) OVER (PARTITION BY doc_id, code) THEN min(g) OVER (PARTITION BY doc_id, code) END, '') AS indication FROM r""")
+def g10_indications(spark, d):
+    s = F.col("l_suppkey")
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("y"), F.col("l_linenumber").alias("n"), F.struct("l_partkey", "l_suppkey").alias("row_id"),
+                                              (F.col("l_partkey") % 2).alias("code"), F.when(s % 3 == 0, F.concat(F.lit("for "), s % 4)).alias("indication"))
+    return H.carried_indications(rows, ["doc_id"]).select("doc_id", F.col("n").alias("row_id"), F.col("row_id.l_partkey").alias("p"), F.col("row_id.l_suppkey").alias("s"), "code", "indication")
+
+
+@query("G31_character_anchors", "SELECT p_partkey AS doc_id, 120.0::DOUBLE + 30 * (p_partkey % 4) AS y, 'PT-' || p_partkey AS code FROM part WHERE p_partkey % 6 > 0")
+def g31_characters(spark, d):
+    k = F.col("p_partkey")
+    text = F.concat(F.lit("PT-"), k.cast("string"))
+    p = table(spark, d, "part").select(k.alias("doc_id"), text.alias("text"), (115 + 30 * (k % 4)).cast("double").alias("y0"), F.when(k % 6 == 0, 60.0).otherwise(100.0).alias("asset_right_x"))
+    chars = p.select("doc_id", "y0", F.posexplode(F.split("text", "")).alias("i", "ch")).select(
+        "doc_id", (F.col("y0") + F.col("i") % 2).alias("y0"), (F.col("y0") + 10 - F.col("i") % 2).alias("y1"), (40.0 + 5 * F.col("i")).alias("x0"), "ch")
+    above = chars.withColumns({"y0": F.lit(20.0), "y1": F.lit(30.0)})
+    heads = p.select("doc_id", F.lit(100.0).alias("header_y"), F.when(F.col("doc_id") % 6 == 0, 75.0).otherwise(45.0).alias("asset_x"), "asset_right_x")
+    return H.character_anchors(chars.unionByName(above), heads, ["doc_id"])
