@@ -8,10 +8,14 @@ all tokens, and stay near 1 otherwise:
     1/2 sum over domains of (expected / total - target)^2 / weight
         + ridge / 2 * sum of (tokens / total) * (r - 1)^2
 
-where the weight of a domain is its share of the tokens, so that the ridge holds back a rare domain no
-more than a common one. The best rates are max(0, 1 + posterior . force) with one force a domain; the
-forces are found by Newton steps on the dual, which is convex, until its gradient vanishes. A step needs
-a few numbers a domain from a distributed sum, and no state is kept with the documents.
+where the weight of a domain is its share of the tokens: the step of a domain is scaled by the inverse of
+that share, and the ridge holds back a rare domain no more than a common one. The rates are found by
+distributed projected gradient with momentum: every rate takes the step of the domains' gradients by its
+posteriors and the ridge, and is projected on zero and above. All rates start at 1 and take the same
+steps, so a rate follows from its document's posteriors and the list of steps; a pass over the documents
+needs that list and returns a few numbers a domain, and no state is kept with the documents. The scaled
+curvature is at most 1 + ridge, so the step 1 / (1 + ridge) never overshoots; momentum starts again when
+it points against a step, and the steps end when their length vanishes.
 
 expected and target tell, by domain, the shares of all tokens that the rates give and that were wanted;
 they differ where no nonnegative rates reach the target. A document may get rate 0.
@@ -24,6 +28,9 @@ are kept, and columns that bear the name of a result are replaced.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -120,18 +127,44 @@ def posteriors(docs: DataFrame, prior: np.ndarray, rate: np.ndarray, keep: list[
     return docs.select("text", *(f.name for f in keep if f.name != "text")).mapInArrow(run, schema)
 
 
-def rates(post: np.ndarray, force: np.ndarray) -> np.ndarray:
-    """Rate of each row under the forces of the domains."""
-    return np.maximum(0, 1 + post @ force)
+@dataclass(frozen=True)
+class Steps:
+    """Projected steps from rate 1: the domains' gradients of each, and the momentum that followed it."""
+
+    ridge: float
+    gradients: tuple[tuple[float, ...], ...] = ()
+    momentum: tuple[float, ...] = ()
+
+    def then(self, gradient: np.ndarray) -> Steps:
+        return Steps(self.ridge, (*self.gradients, tuple(map(float, gradient))), self.momentum)
+
+    def pushed(self, momentum: float) -> Steps:
+        return Steps(self.ridge, self.gradients, (*self.momentum, momentum))
+
+
+def walked(post: np.ndarray, steps: Steps) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rates after the last step, those before it, and the point from which it was taken."""
+    now = before = at = np.ones(len(post))
+    for i, gradient in enumerate(steps.gradients):
+        if i:
+            at = now + steps.momentum[i - 1] * (now - before)
+        before = now
+        now = np.maximum(0, at - (post @ np.array(gradient) + steps.ridge * (at - 1)) / (1 + steps.ridge))
+    return now, before, at
+
+
+def rates(post: np.ndarray, steps: Steps) -> np.ndarray:
+    """Rate of each row, from its posteriors and the steps that all rates take."""
+    return walked(post, steps)[0]
 
 
-def fit_rates(rows: DataFrame, target: np.ndarray, ridge: float, close: float) -> tuple[np.ndarray, np.ndarray]:
-    """Forces of the domains, and the shares of the tokens that they give, over (n_tokens, posterior) rows."""
+def fit_rates(rows: DataFrame, target: np.ndarray, ridge: float, close: float) -> tuple[Steps, np.ndarray]:
+    """Steps of the rates, and the shares of the tokens that they give, over (n_tokens, posterior) rows."""
     k = len(target)
 
-    def sums(tried):
-        """Tokens, then for each force tried: half the sum of squared rates, expected tokens, their derivatives."""
-        size = 1 + len(tried) * (1 + k + k * k)
+    def sums(steps: Steps):
+        """Shares by the rates, their change by the last step, its squared length, and how the momentum lies to it."""
+        size = 3 + 2 * k
 
         def run(tables):
             total = np.zeros(size)
@@ -139,37 +172,31 @@ def fit_rates(rows: DataFrame, target: np.ndarray, ridge: float, close: float) -
                 if t.num_rows:
                     n = t.column("n_tokens").to_numpy().astype(float)
                     p = t.column("posterior").flatten().to_numpy().reshape(-1, k)
-                    out = [[n.sum()]]
-                    for force in tried:
-                        r = rates(p, force)
-                        out += [[(n * r) @ r / 2], (n * r) @ p, ((p * (n * (r > 0))[:, None]).T @ p).reshape(-1)]
-                    total += np.concatenate(out)
+                    now, before, at = walked(p, steps)
+                    total += np.concatenate([[n.sum()], (n * now) @ p, (n * (now - before)) @ p,
+                                             [n @ (now - at) ** 2, n @ ((at - now) * (now - before))]])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(total)], ["i", "x"])
         got = rows.select("n_tokens", "posterior").mapInArrow(run, "i int, x double").groupBy("i").agg(F.sum("x")).collect()
         out = np.array([v for _, v in sorted((r[0], r[1]) for r in got)]) if got else np.zeros(size)
         if not out[0]:
             return None
-        return [(x[0], x[1 : k + 1], x[k + 1 :].reshape(k, k)) for x in (out[1:] / out[0]).reshape(len(tried), -1)]
-
-    force = np.zeros(k)
-    if (first := sums([force])) is None:
-        return force, np.zeros(k)
-    half, expected, slope = first[0]
-    weight = ridge * np.maximum(expected, 1e-9)
-    value, scale = half, 1.0
+        out = out[1:] / out[0]
+        return out[:k], out[k : 2 * k], out[2 * k], out[2 * k + 1]
+
+    steps = Steps(ridge)
+    if (first := sums(steps)) is None:
+        return steps, np.zeros(k)
+    given = first[0]
+    weight, point, pace = np.maximum(given, 1e-9), given, 1.0
     while True:
-        gradient = expected - target + weight * force
-        # At a target out of reach the shares never match, but the gradient vanishes at the best rates.
-        if np.abs(gradient).max() < close / 100 or scale < 1e-12:
-            return force, expected
-        step = np.linalg.solve(slope + np.diag(weight), gradient)
-        tried = [force - scale * 0.5**i * step for i in range(12)]
-        got = [(h - target @ f + weight @ (f * f) / 2, f, e, j) for f, (h, e, j) in zip(tried, sums(tried))]
-        best = min(got, key=lambda x: x[0])
-        if best[0] < value:
-            (value, force, expected, slope), scale = best, 1.0
-        else:
-            scale *= 0.5**12
+        steps = steps.then((point - target) / weight)
+        given, change, length, against = sums(steps)
+        # At a target out of reach the shares never match, but the steps vanish at the best rates.
+        if math.sqrt(length) * (1 + ridge) < close / 10:
+            return steps, given
+        following = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+        momentum, pace = (0.0, 1.0) if against > 0 else ((pace - 1) / following, following)
+        steps, point = steps.pushed(momentum), given + momentum * change
 
 
 def mix_to_targets(docs: DataFrame, labels: DataFrame, targets: dict[int, float] | None = None, rows_per_class: int = 2000,
@@ -185,6 +212,6 @@ def mix_to_targets(docs: DataFrame, labels: DataFrame, targets: dict[int, float]
     wanted = np.array([(TARGETS if targets is None else targets).get(d, 0.0) for d in domains])
     wanted = wanted / wanted.sum() if wanted.sum() else np.full(len(domains), 1 / len(domains))
     rows = cut_lineage(posteriors(docs, prior, word_rate, []), docs.sparkSession)
-    force, expected = fit_rates(rows, wanted, ridge, close)
-    out = posteriors(docs, prior, word_rate, keep, lambda p: rates(p, force))
+    steps, expected = fit_rates(rows, wanted, ridge, close)
+    out = posteriors(docs, prior, word_rate, keep, lambda p: rates(p, steps))
     return out.withColumns({"expected": fixed(expected), "target": fixed(wanted)})

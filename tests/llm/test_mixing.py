@@ -34,3 +34,29 @@ def test_totals_are_told_and_rate_0_is_kept(spark, tmp_path):
     assert np.allclose(got, out[0].expected) and list(out[0].target) == [0.0, 1.0]
     kept = corpus_pipeline.mix(spark, docs, str(tmp_path)).collect()
     assert len(kept) == 30 and min(r.rate for r in kept) >= 0
+
+
+def plain_rates(n, p, target, ridge):
+    """The same least squares by many plain projected steps on one matrix."""
+    m = n / n.sum()
+    weight, r = m @ p, np.ones(len(n))
+    for _ in range(200_000):
+        step = (p @ ((m * r) @ p / weight - target / weight) + ridge * (r - 1)) / (1 + ridge)
+        new = np.maximum(0, r - step)
+        if np.abs(new - r).max() < 1e-12:
+            return new
+        r = new
+    return r
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rates_against_a_dense_solver(spark, seed):
+    rng = np.random.default_rng(seed)
+    p = rng.dirichlet([0.4, 0.4, 0.2], 60)
+    n, target = rng.integers(0, 500, 60), np.array([0.1, 0.85, 0.05])
+    rows = spark.createDataFrame([(int(a), [float(v) for v in x]) for a, x in zip(n, p)], "n_tokens long, posterior array<double>")
+    steps, expected = mixing.fit_rates(rows, target, 1e-3, 1e-6)
+    want = plain_rates(n.astype(float), p, target, 1e-3)
+    got = mixing.rates(p, steps)
+    assert np.abs(got - want)[n > 0].max() < 1e-3 and (want == 0).any()
+    assert np.allclose(expected, (n / n.sum() * want) @ p, atol=1e-6)
