@@ -17,7 +17,7 @@ def page_arrays(df: DataFrame, by: list[str], order: list[Column], **fields: Col
     """One row per page: ``m`` holds its rows sorted by ``order``, each with the named fields."""
     keys = [o.alias(f"_o{i}") for i, o in enumerate(order)]
     row = F.struct(*keys, *[c.alias(n) for n, c in fields.items()])
-    return df.groupBy(*by).agg(F.array_sort(F.collect_list(row)).alias("m"))
+    return df.groupBy(*by).agg(F.sort_array(F.collect_list(row)).alias("m"))
 
 
 def running_mean_starts(rows: Column, tolerance: float) -> Column:
@@ -48,7 +48,10 @@ def running_mean_groups(df: DataFrame, by: list[str], position: Column | str, to
         o = Ordered(d, by, order, rows_per_chunk).running_max_before(F.col("_y"), "_top")
         d = o.islands(F.coalesce(F.col("_y") - F.col("_top") > tolerance, F.lit(True)), "_run").frame().drop("_top")
         keys = [*by, "_run"]
-    pages = page_arrays(d, keys, [F.col(c) for c in order], _y=F.col("_y"), _row=F.struct(*columns))
+    # Keys and order columns are there already: the row brings the others.
+    known = {**{c: F.col(c) for c in by}, **{c: F.col(f"e._o{i}") for i, c in enumerate(order) if c not in by}}
+    others = [c for c in columns if c not in known]
+    pages = page_arrays(d, keys, [F.col(c) for c in order], _y=F.col("_y"), _row=F.struct(*(others or [F.lit(0).alias("_none")])))
     pages = pages.withColumn("starts", running_mean_starts(F.col("m"), tolerance))
     # Slices of the page, one a group, then their rows.
     nth = F.sequence(F.lit(1), F.size("starts"))
@@ -57,7 +60,8 @@ def running_mean_groups(df: DataFrame, by: list[str], position: Column | str, to
     groups = pages.select(*keys, F.explode(parts).alias("p")).select(*keys, "p.g", "p.m")
     if rows_per_chunk:
         groups = Ordered(groups, by, ["_run", "g"], rows_per_chunk).ordinal("g2").frame().drop("g").withColumnRenamed("g2", "g")
-    return groups.select(F.col("g").cast("int").alias(name), F.explode("m._row").alias("_row")).select("_row.*", name)
+    rows = groups.select(*by, F.col("g").cast("int").alias(name), F.explode("m").alias("e"))
+    return rows.select(*[known[c].alias(c) if c in known else F.col(f"e._row.{c}") for c in columns], name)
 
 
 def running_clusters(df: DataFrame, by: list[str], x: str, tolerance: float = 24.0, least: int = 3) -> DataFrame:
