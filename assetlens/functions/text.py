@@ -300,11 +300,29 @@ def _numeric(n: Column) -> Column:
             .otherwise(F.decode(F.unhex(F.lpad(F.hex(plain), 8, "0")), "UTF-32")))
 
 
+#: References that nearly every page has. None of their texts can become part of another reference.
+COMMON = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&nbsp;": " ", "&#160;": " ", "&copy;": "©", "&reg;": "®",
+          "&middot;": "·", "&ndash;": "–", "&mdash;": "—", "&rsquo;": "’"}
+
+
 def unescape(c: Column) -> Column:
     """Character references of HTML as text, each read once; a no-break space becomes a space.
 
     Names need their semicolon unless the standard lets it go; unknown names stay as they are.
+    A text with common references only is read by plain replacement, ``&amp;`` last.
     """
+    def read(x):
+        for reference, text in COMMON.items():
+            x = F.replace(x, F.lit(reference), F.lit(text))
+        return x
+
+    def text(x):
+        return let(read(x), lambda y: F.when(F.replace(y, F.lit("&amp;"), F.lit("")).rlike("&[#A-Za-z]"), _any_reference(x))
+                   .otherwise(F.replace(y, F.lit("&amp;"), F.lit("&"))))
+    return let(c, lambda x: F.when(x.contains("&"), text(x)).otherwise(x))
+
+
+def _any_reference(c: Column) -> Column:
     names = F.str_to_map(F.lit("\u0001".join(f"{k}\u0002{v}" for k, v in ENTITIES.items())), F.lit("\u0001"), F.lit("\u0002"))
 
     def named(t):
@@ -315,8 +333,7 @@ def unescape(c: Column) -> Column:
     found = F.transform(F.regexp_extract_all(c, F.lit(ENTITY), 0), lambda t: F.struct(
         t.alias("t"), F.when(t.startswith("&#"), _code_point(t)).alias("n")))
     texts = F.transform(found, lambda e: F.when(e["n"].isNotNull(), _numeric(e["n"])).otherwise(named(e["t"])))
-    read = F.array_join(F.zip_with(F.split(c, ENTITY, -1), texts, lambda gap, x: F.concat(gap, F.coalesce(x, F.lit("")))), "")
-    return F.when(c.contains("&"), read).otherwise(c)
+    return F.array_join(F.zip_with(F.split(c, ENTITY, -1), texts, lambda gap, x: F.concat(gap, F.coalesce(x, F.lit("")))), "")
 
 
 def strip_html(c) -> Column:
