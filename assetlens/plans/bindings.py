@@ -99,3 +99,48 @@ def norm_sql(x: str) -> str:
 
 def clean_sql(x: str) -> str:
     return f"trim(regexp_replace(coalesce({x}, ''), '\\s+', ' ', 'g'))"
+
+
+def phase_table_words(spark, d) -> DataFrame:
+    """Words of documents printed as pages of a five-column table, 800 words a page and 40 a row on two lines.
+
+    The second line has no phase cell, and no asset words in some rows. Some assets end in a footnote number or begin with a mark, the digit of a
+    phase stands two points low, 'New' stands left of its column, some rows lack a submission type, and every
+    fourth page lists discontinued programmes.
+    """
+    docs = table(spark, d, "documents")
+    w = docs.select("doc_id", F.posexplode(F.split("text", " ")).alias("i", "word"))
+    i = F.col("i")
+    row, line, slot, page = F.floor(i % 800 / 40), F.floor(i % 40 / 20), i % 20, F.floor(i / 800).cast("int")
+    kind = (F.col("doc_id") + F.floor(i / 40)) % 5
+    first = (F.when((slot == 4) & (kind == 1), "2").when((slot == 4) & (kind == 2), "PF-07220060").when((slot == 4) & (kind == 3), "12")
+             .when((slot == 0) & (kind == 4), "▶ Dekavil2")
+             .when(slot == 15, F.when(kind == 0, "Registration").otherwise("Phase"))
+             .when(slot == 16, F.when(kind == 0, "").otherwise((1 + kind % 3).cast("string")))
+             .when(slot == 17, F.when(kind == 3, "Other").when(kind == 1, "Product").otherwise("New"))
+             .when(slot == 18, F.when(kind == 1, "Enhancement").otherwise("Molecular")).when(slot == 19, F.when(kind == 1, "").otherwise("Entity"))
+             .otherwise(F.col("word")))
+    cells = w.filter((line == 0) | ((slot < 15) & ((kind != 1) | (slot > 4)))).select(
+        "doc_id", page.alias("page_no"), (i % 800 + 20).cast("int").alias("pos"), F.when(line == 0, first).otherwise(F.col("word")).alias("text"),
+        (40.0 + 30.0 * slot - F.when((line == 0) & (slot == 17), 6.0).otherwise(0.0)).alias("x0"),
+        (40.0 + 24.0 * row + 8.0 * line + F.when((line == 0) & (slot == 16), 2.0).otherwise(0.0)).alias("y0"))
+    word = lambda n, t, x, y: F.struct(F.lit(n).alias("pos"), (t if not isinstance(t, str) else F.lit(t)).alias("text"),
+                                       F.lit(float(x)).alias("x0"), F.lit(float(y)).alias("y0"))
+    title = F.element_at(F.array(*map(F.lit, ("Oncology", "Internal Medicine", "Vaccines", "Programs Discontinued Since Last Update"))), F.col("page_no") % 4 + 1)
+    printed = F.array(word(0, title, 40, 2), word(1, "Compound", 40, 20), word(2, "Name", 90, 20), word(3, "Mechanism", 190, 20), word(4, "Indication", 340, 20),
+                      word(5, "Phase", 490, 20), word(6, "Submission", 550, 20), word(7, "Type", 600, 20),
+                      word(900, "Indicates", 40, 540), word(901, "Phase", 490, 545), word(902, "2", 520, 545))
+    pages = w.select("doc_id", page.alias("page_no")).distinct()
+    frame = pages.select("doc_id", "page_no", F.explode(printed).alias("p")).select("doc_id", "page_no", "p.*")
+    return cells.unionByName(frame).withColumns({"x1": F.col("x0") + 28, "y1": F.col("y0") + 10, "height": F.lit(600.0)})
+
+
+PHASE_TABLE_SQL = """tw AS (
+  SELECT doc_id, i // 800 AS page_no, i % 800 // 40 AS band0, i % 40 // 20 AS line, i % 20 AS slot, (doc_id + i // 40) % 5 AS kind, i, word
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents))),
+tc AS (SELECT * FROM tw WHERE page_no % 4 < 3),
+tr AS (SELECT doc_id, page_no, band0, any_value(kind) AS kind, max(slot) FILTER (line = 0) AS last_slot,
+  string_agg(CASE WHEN line = 0 AND slot = 4 AND kind = 1 THEN '2' WHEN line = 0 AND slot = 4 AND kind = 2 THEN 'PF-07220060' WHEN line = 0 AND slot = 4 AND kind = 3 THEN '12'
+                  WHEN line = 0 AND slot = 0 AND kind = 4 THEN '▶ Dekavil2' ELSE word END, ' ' ORDER BY i) FILTER (slot < 5 AND (line = 0 OR kind <> 1)) AS compound,
+  string_agg(word, ' ' ORDER BY i) FILTER (slot BETWEEN 5 AND 9) AS mechanism, string_agg(word, ' ' ORDER BY i) FILTER (slot BETWEEN 10 AND 14) AS indication
+  FROM tc GROUP BY 1, 2, 3)"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import folds as L
 from ..operators import headers as H
 from ..operators import layout as G
+from ..operators import phase_table as P
 from ..operators import spatial as S
 from . import bindings as B
 from .registry import pick, query, table
@@ -494,3 +495,41 @@ def g31_characters(spark, d):
     above = chars.withColumns({"y0": F.lit(20.0), "y1": F.lit(30.0)})
     heads = p.select("doc_id", F.lit(100.0).alias("header_y"), F.when(F.col("doc_id") % 6 == 0, 75.0).otherwise(45.0).alias("asset_x"), "asset_right_x")
     return H.character_anchors(chars.unionByName(above), heads, ["doc_id"])
+
+
+# ---- programme rows of printed tables -----------------------------------------------------------
+
+
+T = f"WITH {B.PHASE_TABLE_SQL}"
+AREA_SQL = "['Oncology', 'Internal Medicine', 'Vaccines'][1 + page_no % 4]"
+
+
+def _no_labels_sql(x: str) -> str:
+    x = B.clean_sql(f"translate({x}, chr(173) || chr(61607) || chr(9658), '')")
+    return B.clean_sql(f"regexp_replace(regexp_replace({x}, '(?i)\\b(Phase\\s*[123]|Registration)\\b', '', 'g'), '(?i)\\b(New Molecular Entity|Product Enhancement)\\b', '', 'g')")
+
+
+@query("G05_table_pages", f"""{T} SELECT doc_id, page_no::INT AS page_no, CASE WHEN page_no % 4 = 3 THEN 'discontinued' ELSE 'table' END AS status, CASE WHEN page_no % 4 = 3 THEN '' ELSE {AREA_SQL} END AS area,
+ 32.0::DOUBLE AS body_top, 537.0::DOUBLE AS stop_y FROM tw GROUP BY 1, 2, 3, 4""")
+def g05_pages(spark, d):
+    return P.table_pages(B.phase_table_words(spark, d), G.PAGE).select(*G.PAGE, "status", "area", "body_top", "stop_y")
+
+
+@query("G05_phase_cells", f"""{T} SELECT doc_id, page_no::INT AS page_no, (40 + 24 * band0 + CASE WHEN last_slot = 15 THEN 5 ELSE 6 END)::DOUBLE AS y, CASE WHEN kind = 0 THEN 'Registration' ELSE 'Phase ' || (1 + kind % 3) END AS phase_raw,
+ CASE WHEN kind = 0 THEN 'Registration' ELSE 'Phase ' || (1 + kind % 3) END || CASE WHEN last_slot < 17 THEN '' WHEN kind = 1 THEN ' Product' WHEN kind = 3 THEN ' Other' ELSE ' New' END AS line_text
+ FROM tr WHERE last_slot >= 16 OR last_slot = 15 AND kind = 0""")
+def g05_cells(spark, d):
+    w = B.phase_table_words(spark, d)
+    return P.phase_cells(P.body_words(w, P.table_pages(w, G.PAGE), G.PAGE), G.PAGE)
+
+
+@query("G07_programme_rows", f"""{T}, h AS (SELECT *, last_slot >= 16 OR last_slot = 15 AND kind = 0 AS has FROM tr), a AS (SELECT *, max(CASE WHEN has THEN band0 END) OVER (PARTITION BY doc_id, page_no ORDER BY band0) AS anchor FROM h),
+b AS (SELECT doc_id, page_no, anchor, max(kind) FILTER (has) AS kind, max(last_slot) FILTER (has) AS last_slot, {B.clean_sql("string_agg(compound, ' ' ORDER BY band0)")} AS compound, string_agg(mechanism, ' ' ORDER BY band0) AS mechanism, string_agg(indication, ' ' ORDER BY band0) AS indication
+ FROM a WHERE anchor IS NOT NULL GROUP BY 1, 2, 3),
+r AS (SELECT doc_id, page_no, anchor + 1 AS band, {AREA_SQL} AS area, {_no_labels_sql("replace(regexp_replace(regexp_replace(compound, '^[►▶]+\\s*', ''), '\\s+[0-9]{1,2}$', ''), 'Dekavil2', 'Dekavil')")} AS asset,
+ {_no_labels_sql('mechanism')} AS mechanism, {_no_labels_sql('indication')} AS indication, CASE WHEN kind = 0 THEN 'Filed / Registration' ELSE 'Phase ' || (1 + kind % 3) END AS phase,
+ CASE WHEN kind = 1 AND last_slot >= 18 THEN 'Product Enhancement' WHEN kind IN (0, 2, 4) AND last_slot = 19 THEN 'New Molecular Entity' ELSE '' END AS submission_type, contains(compound, 'Dekavil2')::INT AS n_corrections FROM b)
+SELECT doc_id, page_no::INT AS page_no, band::INT AS band, area, asset, mechanism, indication, phase, submission_type, n_corrections, CASE WHEN contains(asset, 'PF-07220060') THEN 'PF-07220060' ELSE '' END AS code,
+ CASE WHEN submission_type = '' THEN 'no submission' WHEN asset = '' THEN 'no asset' WHEN indication = '' THEN 'no indication' ELSE 'row' END AS status FROM r""")
+def g07_rows(spark, d):
+    return P.programme_rows(B.phase_table_words(spark, d), G.PAGE).withColumn("n_corrections", F.size("corrections")).drop("corrections")
