@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import clean
+
 
 def first_kept(df: DataFrame, key: list[Column], ordinal: list[str]) -> DataFrame:
     """Exact de-duplication: the first row per key by ordinal. A minimum over structs is
@@ -64,6 +66,33 @@ def programme_rollup(trials: DataFrame) -> DataFrame:
         F.min(F.struct("ordinal", "title")).getField("title").alias("title"))
 
 
+def programme_details(trials: DataFrame) -> DataFrame:
+    """Trial rows -> (asset_key, condition_key, trial_ids, phase, status, additional_information) of every programme.
+
+    ``trial_ids`` are distinct and sorted, blank and null ones left out; phase and status are the best by rank, the first
+    by ordinal on ties; null ranks count as 0. Texts follow each other by ordinal, joined by "; ", each unless it stands
+    in what is gathered before it; null is blank. Repeated ids and texts are reduced before they are shuffled, so a group
+    holds what its row returns and the texts found inside others.
+    """
+    by = ["asset_key", "condition_key"]
+    d = trials.select(*by, "ordinal", "nct", "phase", "status", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("phase_rank", "status_rank")],
+                      clean("information").alias("text"))
+    best = lambda c: F.max(F.struct(f"{c}_rank", (-F.col("ordinal")).alias("o"), c)).getField(c).alias(c)
+    heads = d.groupBy(*by).agg(best("phase"), best("status"))
+    ids = d.filter("nct is not null and nct <> ''").select(*by, "nct").distinct().groupBy(*by).agg(F.sort_array(F.collect_list("nct")).alias("trial_ids"))
+    texts = d.filter("text <> ''").groupBy(*by, "text").agg(F.min("ordinal").alias("first"))
+    texts = texts.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("first", "text"))), lambda t: t["text"]).alias("texts"))
+    gathered = F.aggregate("texts", F.lit(""), lambda all_, t: F.when(all_.contains(t), all_).when(all_ == "", F.btrim(t, F.lit("; ")))
+                           .otherwise(F.btrim(F.concat(all_, F.lit("; "), t), F.lit("; "))))
+    # Keys may be null: they are one group each, so the joins take null as equal.
+    out = heads.alias("h")
+    for name, other in (("i", ids), ("t", texts.select(*by, gathered.alias("additional_information")))):
+        same = [F.col(f"h.{k}").eqNullSafe(F.col(f"{name}.{k}")) for k in by]
+        out = out.join(other.alias(name), same[0] & same[1], "left")
+    return out.select("h.*", F.coalesce("i.trial_ids", F.array().cast("array<string>")).alias("trial_ids"),
+                      F.coalesce("t.additional_information", F.lit("")).alias("additional_information"))
+
+
 def missing_fields(fields: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(F.coalesce(v.cast("string"), F.lit("")) == "", F.lit(k))
                                      for k, v in fields.items()]))

@@ -45,6 +45,21 @@ def a06(spark, d):
     return M.programme_rollup(trials)
 
 
+@query("A06_programme_details", """WITH t AS (SELECT o_custkey AS asset_key, o_orderstatus AS condition_key, o_orderkey AS k, 'NCT' || (o_orderkey // 8) AS nct, substr(o_orderpriority, 1, 1)::INT AS r, o_orderpriority AS p,
+  CASE WHEN o_orderkey % 3 = 0 THEN '' WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE substr(o_orderpriority, 3) END AS x FROM orders),
+x AS (SELECT asset_key, condition_key, x, min(k) AS k FROM t WHERE x <> '' GROUP BY 1, 2, 3),
+g AS (SELECT asset_key, condition_key, string_agg(x, '; ' ORDER BY k) AS info FROM x WHERE NOT EXISTS (SELECT 1 FROM x u WHERE u.asset_key = x.asset_key AND u.condition_key = x.condition_key AND u.k < x.k AND contains(u.x, x.x)) GROUP BY 1, 2),
+h AS (SELECT asset_key, condition_key, string_agg(DISTINCT nct, ' ' ORDER BY nct) AS trial_ids, arg_max(p, r) AS phase, arg_min(condition_key, k) AS status FROM t GROUP BY 1, 2)
+SELECT h.*, coalesce(info, '') AS additional_information FROM h LEFT JOIN g USING (asset_key, condition_key)""")
+def a06_details(spark, d):
+    k, p = F.col("o_orderkey"), F.col("o_orderpriority")
+    trials = table(spark, d, "orders").select(
+        F.col("o_custkey").alias("asset_key"), F.col("o_orderstatus").alias("condition_key"), k.alias("ordinal"), F.concat(F.lit("NCT"), F.floor(k / 8)).alias("nct"),
+        F.substring(p, 1, 1).cast("int").alias("phase_rank"), p.alias("phase"), F.lit(1).alias("status_rank"), F.col("o_orderstatus").alias("status"),
+        F.when(k % 3 == 0, "").when(k % 2 == 0, p).otherwise(F.substr(p, F.lit(3))).alias("information"))
+    return M.programme_details(trials).withColumn("trial_ids", F.array_join("trial_ids", " "))
+
+
 @query("A07_duplicate_surplus", """SELECT l_suppkey, (count(*) - count(DISTINCT (l_orderkey, l_linenumber)))::BIGINT AS surplus, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_rows FROM lineitem GROUP BY 1""")
 def a07(spark, d):
     return M.duplicate_surplus(table(spark, d, "lineitem"), ["l_suppkey"], ["l_orderkey", "l_linenumber"])
