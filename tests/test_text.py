@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from assetlens.functions.identity import nested_entry
 from assetlens.functions.text import unescape
 from assetlens.operators.html import indication_section
 
@@ -30,3 +31,14 @@ def test_indication_headings(spark):
     rows = spark.createDataFrame([(i, h + body) for i, h in enumerate(heads)], "i int, t string").select(
         "i", indication_section(F.col("t")).alias("x")).collect()
     assert [bool(r.x) for r in sorted(rows)] == [True, True, True, False, False]
+
+
+def test_nested_entry(spark):
+    cases = {
+        "■ ABC* (anti-X (IgG) mAb) (alias) + B‡ (y (z)) severe asthma (adults)": ("ABC + B", "severe asthma (adults)"),
+        "GemibotA  wrinkles (frown lines)": ("GemibotA wrinkles", ""), "GemibotA wrinkles": ("GemibotA", "wrinkles"), "Alpha* + Beta* disease": ("Alpha + Beta", "disease"),
+        "(alias) ‡ lupus": ("", "lupus"), "one (open (never closed) lupus": ("one", ""), "x) y (g) ) z": ("x) y", ") z"), "A (b)(c) * (d) +  gout": ("A + gout", ""),
+        "A (b) + (c) gout": ("A", "(c) gout"), "A (b) + B+C (d) + D gout": ("A + B+C + D", "gout"), "A (b) +": ("A", ""), "alone": ("", ""), "": ("", ""), None: ("", ""),
+        "é😀 (x) 😀 (y) z": ("é😀", "😀 (y) z"), "A (b) ** (c) ‡gout": ("A", "gout")}
+    rows = spark.createDataFrame(list(enumerate(cases)), "i int, t string").select("i", nested_entry("t").alias("e")).select("i", "e.*").collect()
+    assert {list(cases)[r.i]: (r.asset, r.indication) for r in rows} == cases
