@@ -470,3 +470,27 @@ def e01(spark, d):
     products = p.select(k.alias("product_id"), F.concat("p_name", F.lit("®")).alias("name"), F.col("p_type").alias("molecule"))
     products = products.withColumn("name", F.col("name"))
     return E.marketed_identity(products, apps, bio, labels, listing).select("product_id", "status", "confidence")
+
+
+@query("S19_header_synonyms", """SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_name WHEN p_partkey % 3 = 1 THEN p_brand END AS value FROM part""")
+def s19(spark, d):
+    k = F.col("p_partkey")
+    rows = table(spark, d, "part").select(k, F.when(k % 3 == 0, F.concat(F.lit(" "), "p_name")).otherwise("  ").alias("Proprietary_Name"), F.col("p_type").alias("Name"),
+                                          F.when(k % 3 < 2, F.col("p_brand")).alias("BRAND  name"))
+    return rows.select("p_partkey", S.by_header_synonym(rows, ["proprietary name", "trade name", "Brand Name"]).alias("value"))
+
+
+@query("JN13_experimental_interventions", """SELECT p_partkey, ['ABC-' || p_partkey, 'zorblax', 'QQ-' || p_partkey, ''][1 + p_partkey % 4] AS tested FROM part""")
+def jn13(spark, d):
+    """In an experimental arm; named by the title; shaped like a code; two left that nothing tells apart."""
+    k = F.col("p_partkey")
+    code = lambda letters: F.concat(F.lit(letters + "-"), k)
+    one = lambda name, *others: F.struct((name if not isinstance(name, str) else F.lit(name)).alias("name"), F.lit("Drug").alias("type"),
+                                         F.array(*map(F.lit, others)).cast("array<string>").alias("otherNames"))
+    by_case = lambda *values: F.when(k % 4 == 0, values[0]).when(k % 4 == 1, values[1]).when(k % 4 == 2, values[2]).otherwise(values[3])
+    given = by_case(F.array(one(code("ABC")), one(code("XYZ")), one("Placebo")), F.array(one("zorblax"), one("plain")), F.array(one("plainword"), one(code("QQ"))), F.array(one("alpha"), one("beta", "B")))
+    none = F.array().cast("array<string>")
+    arms = F.array(F.struct(F.lit("Experimental").alias("type"), by_case(F.array(F.concat(F.lit("Drug: "), code("ABC"))), none, none, F.array(F.lit("alpha"), F.lit("Beta arm"))).alias("interventionNames")),
+                   F.struct(F.lit("Placebo_comparator").alias("type"), F.array(F.lit("Drug: Placebo")).alias("interventionNames")))
+    d = table(spark, d, "part").select(k, F.struct(arms.alias("armGroups"), given.alias("interventions")).alias("arms"), F.when(k % 4 == 1, "A study of Zorblax").otherwise("A study").alias("title"))
+    return d.select("p_partkey", F.array_join(F.transform(S.experimental_interventions(F.col("arms"), F.col("title")), lambda i: i["name"]), " ").alias("tested"))
