@@ -40,10 +40,11 @@ def contained(points: DataFrame, rects: DataFrame, by: list[str], cell: float =
 
 
 def near_pairs(probes: DataFrame, nodes: DataFrame, by: list[str], probe_y: str, node_y: str, limit: float) -> DataFrame:
-    """Probes with every node of their key at most ``limit`` above or below."""
+    """Probes with every node of their key at most ``limit`` above or below. Both sides grow with the pages: a small
+    file may hold many rows, so neither is to be sent to the driver as a broadcast."""
     p = probes.withColumn("_b", _cell(F.col(probe_y), limit)).withColumn("_c", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
     n = nodes.withColumn("_c", _cell(F.col(node_y), limit))
-    return p.join(n, [*by, "_c"]).filter(F.abs(F.col(node_y) - F.col(probe_y)) <= limit).drop("_b", "_c")
+    return p.join(n.hint("merge"), [*by, "_c"]).filter(F.abs(F.col(node_y) - F.col(probe_y)) <= limit).drop("_b", "_c")
 
 
 # ---- cells of a chart -----------------------------------------------------------------
