@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .registry import table
+from .registry import by_document, table
 
 
 def portfolio(spark, d) -> DataFrame:
@@ -77,7 +77,7 @@ def catalog(spark, d) -> DataFrame:
 def layout_words(spark, d) -> DataFrame:
     """Words of each document laid out twenty to a line; one page per document."""
     docs = table(spark, d, "documents")
-    return (docs.select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "text"))
+    return (by_document(docs.select("doc_id", "text")).select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "text"))
             .select("doc_id", F.lit(1).alias("page_no"), "pos", "text",
                     (40.0 + 30.0 * (F.col("pos") % 20)).alias("x0"),
                     (20.0 + 12.0 * F.floor(F.col("pos") / 20)).alias("y0"))
@@ -109,7 +109,7 @@ def phase_table_words(spark, d) -> DataFrame:
     fourth page lists discontinued programmes.
     """
     docs = table(spark, d, "documents")
-    w = docs.select("doc_id", F.posexplode(F.split("text", " ")).alias("i", "word"))
+    w = by_document(docs.select("doc_id", "text")).select("doc_id", F.posexplode(F.split("text", " ")).alias("i", "word"))
     i = F.col("i")
     row, line, slot, page = F.floor(i % 800 / 40), F.floor(i % 40 / 20), i % 20, F.floor(i / 800).cast("int")
     kind = (F.col("doc_id") + F.floor(i / 40)) % 5

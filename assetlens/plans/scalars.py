@@ -9,7 +9,7 @@ from ..functions import phase as P
 from ..functions import text as T
 from ..operators import phrases
 from . import bindings as B
-from .registry import query, scalar_cases, table
+from .registry import by_document, query, scalar_cases, table
 
 joined = lambda fn: (lambda c: F.array_join(fn(c), "|"))
 
@@ -71,7 +71,8 @@ k AS (SELECT doc_id, trim(regexp_replace(lower(word), '[^a-z0-9]+', ' ', 'g')) A
 f AS (SELECT doc_id, key, arg_min(word, pos) AS word, min(pos) AS pos FROM k WHERE key <> '' GROUP BY ALL)
 SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS words FROM f GROUP BY doc_id""")
 def n06(spark, d):
-    words = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", r"\s+")).alias("pos", "word"))
+    docs = by_document(table(spark, d, "documents").select("doc_id", "text"))
+    words = docs.select("doc_id", F.posexplode(F.split("text", r"\s+")).alias("pos", "word"))
     firsts = (words.withColumn("key", T.norm_plain("word")).filter("key <> ''")
               .groupBy("doc_id", "key").agg(F.min(F.struct("pos", "word")).alias("f")))
     return firsts.groupBy("doc_id").agg(F.array_join(F.transform(
