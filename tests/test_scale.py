@@ -8,16 +8,14 @@ from assetlens.functions import identity as I
 from assetlens.functions import text as T
 from assetlens.operators.spatial import near_pairs
 
-SF = "/root/testdata/sf0.001"
-
-
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name", ["N06_ordered_distinct", "S11_dedupe_nodes", "G01_line_groups", "G01_drifting_lines", "G24_drifting_bands", "G02_reading_text"])
-def test_words_of_a_document_stay_together(spark, name):
-    assert _plan(entry.queries()[name](spark, SF)).count("Exchange") == 1
+def test_words_of_a_document_stay_together(spark, name, tmp_path):
+    spark.createDataFrame([(1, "a b c a"), (2, "d e"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert _plan(entry.queries()[name](spark, str(tmp_path))).count("Exchange") == 1
 
 
 def test_no_side_of_near_pairs_is_broadcast(spark):
