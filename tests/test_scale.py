@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from assetlens.functions import identity as I
 from assetlens.functions import text as T
+from assetlens.operators import html as H
 from assetlens.operators.spatial import near_pairs
 
 def _plan(df):
@@ -31,3 +32,10 @@ def test_clinical_text_is_normalised_once(spark):
     count = lambda q: q._jdf.queryExecution().optimizedPlan().toString().lower().count("myasthenia")
     assert count(flags) <= count(once) + 1
     assert [r.f for r in flags.collect()] == [["adjuvant", "neoadjuvant"], ["maintenance", "transplant-maintenance"], [], []]
+
+
+def test_section_end_is_looked_for_once(spark):
+    label = "1 INDICATIONS AND USAGE\nis indicated for the treatment of adults with x\n2 DOSAGE AND ADMINISTRATION\ny"
+    d = spark.createDataFrame([(label,), ("none",), (None,)], "t string").select(H.indication_section("t").alias("s"))
+    assert d._jdf.queryExecution().optimizedPlan().toString().count("4\\s+CONTRAINDICATIONS") == 1
+    assert [r.s for r in d.collect()] == ["1 INDICATIONS AND USAGE is indicated for the treatment of adults with x", "", ""]
