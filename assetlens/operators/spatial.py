@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import identity as I
 from ..functions import phase as P
-from ..functions.text import clean, norm
-from .folds import page_arrays, running_mean_groups
+from ..functions.text import clean, let, norm
+from .folds import in_line_order, page_arrays, running_mean_groups
 
 #: Order of phases; a band that names several has the highest.
 PHASE_RANK = ["Preclinical", "Phase 1", "Phase 2", "Phase 3", "Phase 4", "Filed / Registration"]
@@ -29,12 +29,14 @@ def in_ranges(points: DataFrame, ranges: DataFrame, by: list[str], position: Col
     return p.join(r, [*by, "_c"]).filter(position.between(F.col(low), F.col(high))).drop("_c")
 
 
-def contained(points: DataFrame, rects: DataFrame, by: list[str], cell: float = 48.0, margin: float = 0.0) -> DataFrame:
-    """Points (cx, cy) with every rectangle (rx0, ry0, rx1, ry1) of their key that holds them; each pair once."""
-    span = lambda a, b: F.sequence(_cell(F.col(a) - margin, cell), _cell(F.col(b) + margin, cell))
+def contained(points: DataFrame, rects: DataFrame, by: list[str], cell: float = 48.0, margin: float = 0.0, width: float | None = None) -> DataFrame:
+    """Points (cx, cy) with every rectangle (rx0, ry0, rx1, ry1) of their key that holds them; each pair once.
+    Cells are ``cell`` high and ``width`` wide, square by default."""
+    span = lambda a, b, size: F.sequence(_cell(F.col(a) - margin, size), _cell(F.col(b) + margin, size))
+    width = width or cell
     r = rects.filter(f"rx0 - {margin} <= rx1 + {margin} and ry0 - {margin} <= ry1 + {margin}")
-    r = r.withColumn("_cx", F.explode(span("rx0", "rx1"))).withColumn("_cy", F.explode(span("ry0", "ry1")))
-    p = points.withColumn("_cx", _cell(F.col("cx"), cell)).withColumn("_cy", _cell(F.col("cy"), cell))
+    r = r.withColumn("_cx", F.explode(span("rx0", "rx1", width))).withColumn("_cy", F.explode(span("ry0", "ry1", cell)))
+    p = points.withColumn("_cx", _cell(F.col("cx"), width)).withColumn("_cy", _cell(F.col("cy"), cell))
     inside = F.col("cx").between(F.col("rx0") - margin, F.col("rx1") + margin) & F.col("cy").between(F.col("ry0") - margin, F.col("ry1") + margin)
     return p.join(r, [*by, "_cx", "_cy"]).filter(inside).drop("_cx", "_cy")
 
@@ -50,11 +52,10 @@ def near_pairs(probes: DataFrame, nodes: DataFrame, by: list[str], probe_y: str,
 # ---- cells of a chart -----------------------------------------------------------------
 
 
-def span_text(spans: DataFrame, by: list[str], name: str, tolerance: float = 4.0) -> DataFrame:
-    """Text of each group of spans in reading order: lines by running mean of the centres, then from the left."""
-    lines = running_mean_groups(spans.select(*by, "y0", "x0", "cy", "text"), by, "cy", tolerance, "line", ["y0", "x0", "text"])
-    words = F.array_sort(F.collect_list(F.struct("line", "x0", "y0", "text")))
-    return lines.groupBy(*by).agg(clean(F.array_join(F.transform(words, lambda w: w["text"]), " ")).alias(name))
+def span_text(spans: Column, tolerance: float = 4.0) -> Column:
+    """Text of sorted spans (y0, x0, text, _y) in reading order: lines by running mean of the centres, then from the left."""
+    words = in_line_order(spans, tolerance, lambda w: F.struct(w["x0"].alias("x0"), w["y0"].alias("y0"), w["text"].alias("text")))
+    return clean(F.array_join(F.transform(words, lambda w: w["text"]), " "))
 
 
 def region_status(cx: Column, cy: Column, width: Column, approved_y: Column) -> Column:
@@ -67,16 +68,18 @@ def cell_programmes(spans: DataFrame, rects: DataFrame, pages: DataFrame, by: li
     """(by, rect_id, asset, indication, status) of every rectangle that holds text in both styles.
 
     spans(x0, y0, x1, y1, text), rects(rect_id, x0, y0, x1, y1), pages(width, approved_y). Text is taken a
-    point beyond the edges; cells that are headings or notes are left out."""
+    point beyond the edges; cells that are headings or notes are left out. Spans meet their rectangle once, and
+    its three texts are read from one sorted array."""
     s = spans.withColumns({"cx": (F.col("x0") + F.col("x1")) / 2, "cy": (F.col("y0") + F.col("y1")) / 2, "text": clean(F.col("text"))}).filter("text <> ''")
     s = s.withColumn("styled", style).select(*by, "x0", "y0", "cx", "cy", "text", "styled")
     r = rects.select(*by, "rect_id", *[F.col(c).cast("double").alias(f"r{c}") for c in ("x0", "y0", "x1", "y1")])
-    d = contained(s, r, by, margin=1.0)
+    d = contained(s, r, by, margin=1.0, width=240.0)
     keys = [*by, "rect_id"]
-    whole = span_text(d, keys, "whole")
-    out = (r.join(whole, keys).join(span_text(d.filter(~F.col("styled")), keys, "asset"), keys)
-           .join(span_text(d.filter("styled"), keys, "indication"), keys).join(pages, by))
-    note = norm(F.col("whole")).isin("nme", "nilex other") | norm(F.col("whole")).rlike("addition or milestone achieved|updates since")
+    held = F.sort_array(F.collect_list(F.struct("y0", "x0", "text", F.col("cy").cast("double").alias("_y"), "styled")))
+    texts = let(held, lambda m: F.struct(span_text(m).alias("whole"), span_text(F.filter(m, lambda w: ~w["styled"])).alias("asset"),
+                                         span_text(F.filter(m, lambda w: w["styled"])).alias("indication")))
+    out = r.join(d.groupBy(*keys).agg(texts.alias("t")).select(*keys, "t.*"), keys).join(pages, by)
+    note = let(norm(F.col("whole")), lambda n: n.isin("nme", "nilex other") | n.rlike("addition or milestone achieved|updates since"))
     status = region_status((F.col("rx0") + F.col("rx1")) / 2, (F.col("ry0") + F.col("ry1")) / 2, F.col("width"), F.col("approved_y"))
     return out.filter(~note & (F.col("asset") != "") & (F.col("indication") != "")).select(*keys, "asset", "indication", status.alias("status"))
 
