@@ -519,8 +519,7 @@ def g05_pages(spark, d):
  CASE WHEN kind = 0 THEN 'Registration' ELSE 'Phase ' || (1 + kind % 3) END || CASE WHEN last_slot < 17 THEN '' WHEN kind = 1 THEN ' Product' WHEN kind = 3 THEN ' Other' ELSE ' New' END AS line_text
  FROM tr WHERE last_slot >= 16 OR last_slot = 15 AND kind = 0""")
 def g05_cells(spark, d):
-    w = B.phase_table_words(spark, d)
-    return P.phase_cells(P.body_words(w, P.table_pages(w, G.PAGE), G.PAGE), G.PAGE)
+    return P.page_cells(P.page_bodies(B.phase_table_words(spark, d), G.PAGE), G.PAGE)
 
 
 @query("G07_programme_rows", f"""{T}, h AS (SELECT *, last_slot >= 16 OR last_slot = 15 AND kind = 0 AS has FROM tr), a AS (SELECT *, max(CASE WHEN has THEN band0 END) OVER (PARTITION BY doc_id, page_no ORDER BY band0) AS anchor FROM h),
