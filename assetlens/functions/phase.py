@@ -77,14 +77,16 @@ def _standalone(k: int) -> str:
 def record(c) -> Column:
     """JSON profile: any standalone number or roman numeral counts."""
     from .text import strip_html
-    n = F.lower(strip_html(c))
-    word = F.regexp_extract(n, "phase[-_ ]?(one|two|three|four)", 1)
     words = _map_literal({"one": "Phase 1", "two": "Phase 2", "three": "Phase 3", "four": "Phase 4"})
-    return (F.when(n == "", "")
-            .when(_any(n, ["approved", "marketed"]), "Approved")
-            .when(_any(n, ["filed", "registration", "regulatory review", "under review"]), FILED)
-            .when(_any(n, ["preclinical", "pre-clinical"]), "Preclinical")
-            .otherwise(_highest(n, _standalone, F.coalesce(words[word], F.lit("")))))
+
+    def rules(n):
+        word = F.regexp_extract(n, "phase[-_ ]?(one|two|three|four)", 1)
+        return (F.when(n == "", "")
+                .when(_any(n, ["approved", "marketed"]), "Approved")
+                .when(_any(n, ["filed", "registration", "regulatory review", "under review"]), FILED)
+                .when(_any(n, ["preclinical", "pre-clinical"]), "Preclinical")
+                .otherwise(_highest(n, _standalone, F.coalesce(words[word], F.lit("")))))
+    return let(F.lower(strip_html(c)), rules)
 
 
 def sheet(c) -> Column:
@@ -259,12 +261,7 @@ def phase_rank(c) -> Column:
 
 def page_area(c) -> Column:
     """Therapeutic area from page keywords, first rule wins."""
-    n = norm(c, "document")
-    out = None
-    for pattern, label in R.AREA_KEYWORDS:
-        hit = n.rlike(pattern)
-        out = F.when(hit, label) if out is None else out.when(hit, label)
-    return out.otherwise("")
+    return let(norm(c, "document"), lambda n: F.coalesce(*[F.when(n.rlike(pattern), label) for pattern, label in R.AREA_KEYWORDS], F.lit("")))
 
 
 def area_heading(c) -> Column:

@@ -109,7 +109,8 @@ def phase_table_words(spark, d) -> DataFrame:
     fourth page lists discontinued programmes.
     """
     docs = table(spark, d, "documents")
-    w = by_document(docs.select("doc_id", "text")).select("doc_id", F.posexplode(F.split("text", " ")).alias("i", "word"))
+    dealt = by_document(docs.select("doc_id", "text"))
+    w = dealt.select("doc_id", F.posexplode(F.split("text", " ")).alias("i", "word"))
     i = F.col("i")
     row, line, slot, page = F.floor(i % 800 / 40), F.floor(i % 40 / 20), i % 20, F.floor(i / 800).cast("int")
     kind = (F.col("doc_id") + F.floor(i / 40)) % 5
@@ -130,7 +131,8 @@ def phase_table_words(spark, d) -> DataFrame:
     printed = F.array(word(0, title, 40, 2), word(1, "Compound", 40, 20), word(2, "Name", 90, 20), word(3, "Mechanism", 190, 20), word(4, "Indication", 340, 20),
                       word(5, "Phase", 490, 20), word(6, "Submission", 550, 20), word(7, "Type", 600, 20),
                       word(900, "Indicates", 40, 540), word(901, "Phase", 490, 545), word(902, "2", 520, 545))
-    pages = w.select("doc_id", page.alias("page_no")).distinct()
+    last = F.floor((F.size(F.split("text", " ")) - 1) / 800).cast("int")
+    pages = dealt.filter("text is not null").select("doc_id", F.explode(F.sequence(F.lit(0), last)).alias("page_no")).distinct()
     frame = pages.select("doc_id", "page_no", F.explode(printed).alias("p")).select("doc_id", "page_no", "p.*")
     return cells.unionByName(frame).withColumns({"x1": F.col("x0") + 28, "y1": F.col("y0") + 10, "height": F.lit(600.0)})
 
