@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import identity as I
 from ..functions import phase as P
 from ..functions import rules as R
-from ..functions.text import brand_norm, clean, norm, norm_key, squeeze, strip_html, text_or_blank, unescape
+from ..functions.text import brand_norm, clean, let, norm, norm_key, squeeze, strip_html, text_or_blank, unescape
 
 TRIAL_SCHEMA = """protocolSection struct<
   identificationModule struct<nctId string, briefTitle string, officialTitle string>,
@@ -148,7 +148,7 @@ def spl_indications(xml: Column) -> Column:
     deep = F.call_function("xpath", xml, F.lit(f"{section}//*[local-name()='text']//text()"))
     title = F.call_function("xpath", xml, F.lit(f"{section}/*[local-name()='title']//text()"))
     join = lambda a: squeeze(F.array_join(F.transform(a, lambda v: F.trim(v)), " "))
-    return squeeze(F.concat_ws(" ", join(title), F.when(join(own) != "", join(own)).otherwise(join(deep))))
+    return squeeze(F.concat_ws(" ", join(title), let(join(own), lambda o: F.when(o != "", o).otherwise(join(deep)))))
 
 
 def spl_ingredients(xml: Column) -> Column:
