@@ -75,7 +75,7 @@ def semantic_records(df: DataFrame, doc: str, payload: str) -> DataFrame:
             lambda c: F.coalesce(c["values"], c["value"], c["key"]).isNotNull() & F.coalesce(c["label"], c["name"], c["title"]).isNotNull()),
         lambda c: F.struct(norm_key(F.coalesce(c["label"], c["name"], c["title"])), norm_key(F.coalesce(c["values"], c["value"], c["key"])))))
     d = d.withColumn("_a", aliases)
-    d = d.select(doc, "record_path", "_a", F.posexplode("records").alias("ordinal", "record"))
+    d = d.select(doc, "record_path", "_a", F.posexplode_outer("records").alias("ordinal", "record")).filter("ordinal is not null")
     entries = F.map_entries(F.from_json("record", "map<string,string>"))
     d = d.withColumn("_m", F.map_from_entries(F.transform(entries, lambda e: F.struct(norm_key(e["key"]), e["value"]))))
 
