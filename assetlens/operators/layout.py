@@ -312,7 +312,7 @@ def contained_words(words: DataFrame, rects: DataFrame) -> DataFrame:
     """Words whose centre lies in a rectangle of the same page."""
     w = words.withColumn("cx", (F.col("x0") + F.col("x1")) / 2).withColumn("cy", center_y())
     r = rects.select(*PAGE, "rect_id", F.col("x0").alias("rx0"), F.col("x1").alias("rx1"), F.col("y0").alias("ry0"), F.col("y1").alias("ry1"))
-    return contained(w, r, PAGE).drop("rx0", "rx1", "ry0", "ry1")
+    return contained(w, r, PAGE, width=240.0).drop("rx0", "rx1", "ry0", "ry1")
 
 
 def rect_rows(words: DataFrame, rects: DataFrame, style: Column) -> DataFrame:

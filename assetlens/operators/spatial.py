@@ -1,4 +1,4 @@
-"""Joins by position on a page: grid cells make them equi joins, the exact test follows in the row.
+"""Joins by position on a page: rows meet in grid cells, the exact test follows in the row.
 
 A cell holds what lies near one spot, so the pairs that are looked at grow with the rows of a page and
 not with their square, and a page may be cut over tasks by its cells.
@@ -6,7 +6,9 @@ not with their square, and a page may be cut over tasks by its cells.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import identity as I
@@ -31,14 +33,20 @@ def in_ranges(points: DataFrame, ranges: DataFrame, by: list[str], position: Col
 
 def contained(points: DataFrame, rects: DataFrame, by: list[str], cell: float = 48.0, margin: float = 0.0, width: float | None = None) -> DataFrame:
     """Points (cx, cy) with every rectangle (rx0, ry0, rx1, ry1) of their key that holds them; each pair once.
-    Cells are ``cell`` high and ``width`` wide, square by default."""
+    Cells are ``cell`` high and ``width`` wide, square by default. Both sides meet in windows over their cells, not in a join:
+    where they are dealt by the page or its document already, no row of them is shuffled again."""
     span = lambda a, b, size: F.sequence(_cell(F.col(a) - margin, size), _cell(F.col(b) + margin, size))
     width = width or cell
+    at, own, held = [*by, "_cx", "_cy"], [c for c in points.columns if c not in by], [c for c in rects.columns if c not in by]
     r = rects.filter(f"rx0 - {margin} <= rx1 + {margin} and ry0 - {margin} <= ry1 + {margin}")
     r = r.withColumn("_cx", F.explode(span("rx0", "rx1", width))).withColumn("_cy", F.explode(span("ry0", "ry1", cell)))
     p = points.withColumn("_cx", _cell(F.col("cx"), width)).withColumn("_cy", _cell(F.col("cy"), cell))
+    both = p.unionByName(r.select(*at, F.struct(*held).alias("_r")), allowMissingColumns=True)
+    both = both.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in at]))
+    near = F.collect_list("_r").over(Window.partitionBy(*at))
+    d = both.withColumn("_near", near).filter("_r is null").select(*by, *own, F.explode("_near").alias("_r"))
     inside = F.col("cx").between(F.col("rx0") - margin, F.col("rx1") + margin) & F.col("cy").between(F.col("ry0") - margin, F.col("ry1") + margin)
-    return p.join(r, [*by, "_cx", "_cy"]).filter(inside).drop("_cx", "_cy")
+    return d.select(*by, *own, *[F.col("_r")[c].alias(c) for c in held]).filter(inside)
 
 
 def near_pairs(probes: DataFrame, nodes: DataFrame, by: list[str], probe_y: str, node_y: str, limit: float) -> DataFrame:
