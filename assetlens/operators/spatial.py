@@ -24,29 +24,36 @@ def _cell(c: Column, size: float) -> Column:
     return F.floor(c / size).cast("long")
 
 
+def _beside(points: DataFrame, others: DataFrame, at: list[str]) -> DataFrame:
+    """Points with each of the others in their cell (columns ``at``) as ``_r``. They meet in a window over the cell, not in a
+    join: where both sides are dealt by the page or its document already, no row is shuffled again, and none is broadcast."""
+    both = points.unionByName(others.select(*at, F.struct(*[c for c in others.columns if c not in at]).alias("_r")), allowMissingColumns=True)
+    both = both.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in at]))
+    near = F.collect_list("_r").over(Window.partitionBy(*at))
+    return both.withColumn("_near", near).filter("_r is null").select(*points.columns, F.explode("_near").alias("_r"))
+
+
 def in_ranges(points: DataFrame, ranges: DataFrame, by: list[str], position: Column, low: str, high: str, cell: float) -> DataFrame:
     """Points with every range (low to high, both ends included) of their key that holds their position."""
+    own, held = [c for c in points.columns if c not in by], [c for c in ranges.columns if c not in by]
     p = points.withColumn("_c", _cell(position, cell))
     r = ranges.withColumn("_c", F.explode(F.sequence(_cell(F.col(low), cell), _cell(F.col(high), cell))))
-    return p.join(r, [*by, "_c"]).filter(position.between(F.col(low), F.col(high))).drop("_c")
+    d = _beside(p, r, [*by, "_c"]).select(*by, *own, *[F.col("_r")[c].alias(c) for c in held])
+    return d.filter(position.between(F.col(low), F.col(high)))
 
 
 def contained(points: DataFrame, rects: DataFrame, by: list[str], cell: float = 48.0, margin: float = 0.0, width: float | None = None) -> DataFrame:
     """Points (cx, cy) with every rectangle (rx0, ry0, rx1, ry1) of their key that holds them; each pair once.
-    Cells are ``cell`` high and ``width`` wide, square by default. Both sides meet in windows over their cells, not in a join:
-    where they are dealt by the page or its document already, no row of them is shuffled again."""
+    Cells are ``cell`` high and ``width`` wide, square by default."""
     span = lambda a, b, size: F.sequence(_cell(F.col(a) - margin, size), _cell(F.col(b) + margin, size))
     width = width or cell
-    at, own, held = [*by, "_cx", "_cy"], [c for c in points.columns if c not in by], [c for c in rects.columns if c not in by]
+    own, held = [c for c in points.columns if c not in by], [c for c in rects.columns if c not in by]
     r = rects.filter(f"rx0 - {margin} <= rx1 + {margin} and ry0 - {margin} <= ry1 + {margin}")
     r = r.withColumn("_cx", F.explode(span("rx0", "rx1", width))).withColumn("_cy", F.explode(span("ry0", "ry1", cell)))
     p = points.withColumn("_cx", _cell(F.col("cx"), width)).withColumn("_cy", _cell(F.col("cy"), cell))
-    both = p.unionByName(r.select(*at, F.struct(*held).alias("_r")), allowMissingColumns=True)
-    both = both.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in at]))
-    near = F.collect_list("_r").over(Window.partitionBy(*at))
-    d = both.withColumn("_near", near).filter("_r is null").select(*by, *own, F.explode("_near").alias("_r"))
+    d = _beside(p, r, [*by, "_cx", "_cy"]).select(*by, *own, *[F.col("_r")[c].alias(c) for c in held])
     inside = F.col("cx").between(F.col("rx0") - margin, F.col("rx1") + margin) & F.col("cy").between(F.col("ry0") - margin, F.col("ry1") + margin)
-    return d.select(*by, *own, *[F.col("_r")[c].alias(c) for c in held]).filter(inside)
+    return d.filter(inside)
 
 
 def near_pairs(probes: DataFrame, nodes: DataFrame, by: list[str], probe_y: str, node_y: str, limit: float) -> DataFrame:
@@ -101,7 +108,7 @@ def header_row(nodes: DataFrame, by: list[str]) -> DataFrame:
     Headings of one phase within 24 across and 55 down of one kept before are its copies. Rows are groups of
     the rest by running mean (26); the one with most headings of at least two phases is the header, the
     upper one on ties."""
-    heads = nodes.withColumn("phase", P.explicit("text")).filter((F.col("phase") != "") & (F.length(clean(F.col("text"))) <= 60))
+    heads = nodes.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in by])).withColumn("phase", P.explicit("text")).filter((F.col("phase") != "") & (F.length(clean(F.col("text"))) <= 60))
     pages = page_arrays(heads, by, [F.col("cy").cast("double"), F.col("cx").cast("double"), F.col("phase")], cy=F.col("cy").cast("double"), cx=F.col("cx").cast("double"), phase=F.col("phase"))
     copy = lambda k, x: (k["phase"] == x["phase"]) & (F.abs(k["cx"] - x["cx"]) <= 24.0) & (F.abs(k["cy"] - x["cy"]) <= 55.0)
     rows = F.transform("m", lambda x: F.struct(x["cy"].alias("cy"), x["cx"].alias("cx"), x["phase"].alias("phase")).cast("struct<cy:double,cx:double,phase:string>"))
@@ -109,9 +116,10 @@ def header_row(nodes: DataFrame, by: list[str]) -> DataFrame:
     kept = F.aggregate(rows, none, lambda s, x: F.when(F.exists(s, lambda k: copy(k, x)), s).otherwise(F.concat(s, F.array(x))))
     d = pages.select(*by, F.explode(kept).alias("h")).select(*by, "h.*")
     d = running_mean_groups(d, by, "cy", 26.0, "row", ["cy", "cx", "phase"])
-    size = d.groupBy(*by, "row").agg(F.count("*").alias("n"), F.count_distinct("phase").alias("phases")).filter("phases >= 2")
-    best = size.groupBy(*by).agg(F.max(F.struct("n", (-F.col("row")).alias("r"))).alias("b")).select(*by, (-F.col("b.r")).alias("row"))
-    return d.join(best, [*by, "row"]).select(*by, "cx", "phase")
+    of_row = Window.partitionBy(*by, "row")
+    d = d.withColumns({"n": F.count("*").over(of_row), "phases": F.size(F.collect_set("phase").over(of_row))}).filter("phases >= 2")
+    best = F.max(F.struct("n", (-F.col("row")).alias("r"))).over(Window.partitionBy(*by))
+    return d.withColumn("best", best["r"]).filter("row = -best").select(*by, "cx", "phase")
 
 
 def grid_rows(nodes: DataFrame, bands: DataFrame, by: list[str], reach: float = 180.0, cell: float = 64.0) -> DataFrame:
@@ -119,25 +127,27 @@ def grid_rows(nodes: DataFrame, bands: DataFrame, by: list[str], reach: float =
 
     nodes(x, y, width, cx, cy, text, structural), bands(band, top, bottom). The phase is the highest one that
     is printed in the band, else that of the heading nearest to the right edge of the band's bars, within
-    ``reach``. Asset and indication stand left of the first heading; a text that is printed twice counts once."""
+    ``reach``. Asset and indication stand left of the first heading; a text that is printed twice counts once.
+    Every step works on the rows of a page or a band: nodes and bands dealt by their page are not shuffled again."""
     heads = header_row(nodes, by).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("cx", "phase"))).alias("h"))
     n = nodes.withColumns({"text": clean(F.col("text")), "cy": F.col("cy").cast("double"), "x": F.col("x").cast("double"), "cx": F.col("cx").cast("double")})
-    d = in_ranges(n, bands.select(*by, "band", "top", "bottom"), by, F.col("cy"), "top", "bottom", cell)
+    d = in_ranges(n, bands.filter("band is not null").select(*by, "band", "top", "bottom"), by, F.col("cy"), "top", "bottom", cell)
     keys = [*by, "band"]
-    own = P.explicit("text")
+    band = Window.partitionBy(*keys)
     rank = F.coalesce(*[F.when(F.col("own") == p, i) for i, p in enumerate(PHASE_RANK)], F.lit(-1))
-    d = d.withColumn("own", own).withColumn("rank", F.when((F.col("text") != "") & (F.col("own") != ""), rank))
+    d = d.withColumn("own", P.explicit("text")).withColumn("rank", F.when((F.col("text") != "") & (F.col("own") != ""), rank))
     edge = F.max(F.when(F.col("structural") & (F.col("width") >= 18), F.col("x") + F.col("width")))
-    facts = d.groupBy(*keys).agg(F.max(F.when(F.col("rank") >= 0, F.struct("rank", "own"))).alias("printed"), edge.alias("edge")).join(heads, by, "left")
-    far = F.array_min(F.transform("h", lambda h: F.struct(F.abs(h["cx"] - F.col("edge")).alias("d"), h["cx"].alias("cx"), h["phase"].alias("phase"))))
-    facts = facts.withColumn("near", far).withColumn("phase", F.coalesce(F.col("printed.own"), F.when(F.col("near.d") <= reach, F.col("near.phase"))))
-    facts = facts.withColumn("evidence", F.when(F.col("printed").isNotNull(), "SOURCE_LAYOUT_TEXT").otherwise("SOURCE_LAYOUT_GEOMETRY"))
-    text = d.filter((F.col("text") != "") & (F.col("own") == "")).join(facts.select(*keys, "phase", "evidence", F.get("h", F.lit(0))["cx"].alias("first")), keys)
+    d = d.withColumns({"printed": F.max(F.when(F.col("rank") >= 0, F.struct("rank", "own"))).over(band), "edge": edge.over(band)})
+    text = d.filter((F.col("text") != "") & (F.col("own") == "")).join(heads.hint("merge"), by, "left").withColumn("first", F.get("h", F.lit(0))["cx"])
     text = text.filter((F.length("text") <= 220) & (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) <= 24))
     text = text.filter(F.col("first").isNull() | (F.col("cx") < F.col("first") - 8)).withColumn("key", norm(F.col("text"))).filter("key <> ''")
-    once = text.groupBy(*keys, "key", "phase", "evidence").agg(F.min(F.struct("x", "y", "text", "cx")).alias("m")).select(*keys, "phase", "evidence", "m.*")
+    facts = F.first(F.struct("printed", "edge", "h")).alias("facts")
+    once = text.groupBy(*keys, "key").agg(F.min(F.struct("x", "y", "text", "cx")).alias("m"), facts).select(*keys, "m.*", "facts")
     can = I.is_identity_candidate("text") & (F.length("text") <= 110)
-    asset = once.filter(can).groupBy(*keys).agg(F.min(F.struct("x", "y", "text", "cx")).alias("a"))
-    right = once.join(asset, keys).filter((F.col("cx") - F.col("a.cx") >= 28) & (F.length("text") <= 180))
-    found = right.groupBy(*keys, "phase", "evidence").agg(F.min(F.struct((F.col("cx") - F.col("a.cx")).alias("d"), (-F.length("text")).alias("l"), "x", "y", "text", F.col("a.text").alias("asset"))).alias("i"))
-    return found.filter("phase is not null").select(*keys, F.col("i.asset").alias("asset"), F.col("i.text").alias("indication"), "phase", "evidence")
+    right = once.withColumn("a", F.min(F.when(can, F.struct("x", "y", "text", "cx"))).over(band)).filter((F.col("cx") - F.col("a.cx") >= 28) & (F.length("text") <= 180))
+    nearest = F.min(F.struct((F.col("cx") - F.col("a.cx")).alias("d"), (-F.length("text")).alias("l"), "x", "y", "text", F.col("a.text").alias("asset"))).alias("i")
+    found = right.groupBy(*keys).agg(nearest, F.first("facts").alias("facts")).select(*keys, F.col("i.asset").alias("asset"), F.col("i.text").alias("indication"), "facts.*")
+    far = F.array_min(F.transform("h", lambda h: F.struct(F.abs(h["cx"] - F.col("edge")).alias("d"), h["cx"].alias("cx"), h["phase"].alias("phase"))))
+    found = found.withColumn("near", far).withColumn("phase", F.coalesce(F.col("printed.own"), F.when(F.col("near.d") <= reach, F.col("near.phase"))))
+    evidence = F.when(F.col("printed").isNotNull(), "SOURCE_LAYOUT_TEXT").otherwise("SOURCE_LAYOUT_GEOMETRY")
+    return found.filter("phase is not null").select(*keys, "asset", "indication", "phase", evidence.alias("evidence"))

@@ -11,7 +11,7 @@ from ..operators import layout as G
 from ..operators import phase_table as P
 from ..operators import spatial as S
 from . import bindings as B
-from .registry import pick, query, table
+from .registry import by_document, pick, query, table
 
 W = f"WITH {B.LAYOUT_SQL}"
 cnt = lambda: F.count("*").alias("n")
@@ -412,15 +412,16 @@ n AS (SELECT p_partkey, arg_min(p, (abs(x - edge), x)) AS near, min(abs(x - edge
 SELECT p_partkey AS doc_id, 1 AS band, p_name AS asset, p_brand AS indication, CASE WHEN p_partkey % 4 = 0 THEN 'Phase 1' ELSE near END AS phase,
   CASE WHEN p_partkey % 4 = 0 THEN 'SOURCE_LAYOUT_TEXT' ELSE 'SOURCE_LAYOUT_GEOMETRY' END AS evidence FROM e JOIN n USING (p_partkey) WHERE p_partkey % 4 = 0 OR d <= 180""")
 def g25_grid(spark, d):
-    k, part = F.col("p_partkey"), table(spark, d, "part")
+    # Parts are dealt before their nodes are made: a part is a page, and stays where it is.
+    k, part = F.col("doc_id"), by_document(table(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), "p_name", "p_brand"))
     node = lambda text, x, cy, width=40.0, bar=False: F.struct(text.alias("text"), F.lit(float(x)).alias("x"), F.lit(float(cy)).alias("cy"), (F.lit(width) if isinstance(width, float) else width).cast("double").alias("width"), F.lit(bar).alias("structural"))
     when = lambda cond, text: F.when(cond, text).otherwise("")
-    nodes = part.select(k.alias("doc_id"), F.explode(F.array(
+    nodes = part.select(k, F.explode(F.array(
         node(F.lit("Phase 1"), 290, 20), node(F.lit("Phase 1"), 300, 40), node(F.lit("Phase 2"), 460, 24), node(when(k % 3 == 0, "Phase 3"), 630, 30), node(F.lit("Phase 3"), 460, 300),
         node(F.col("p_name"), 40, 105), node(F.col("p_name"), 45, 106), node(F.col("p_brand"), 140, 104), node(F.lit("far"), 200, 104), node(F.lit(""), 100, 110, 60 + k % 7 * 100, True),
         node(when(k % 4 == 0, "Preclinical"), 690, 105), node(when(k % 4 == 0, "Phase 1"), 720, 105), node(F.col("p_name"), 40, 145))).alias("n")).select("doc_id", "n.*")
     nodes = nodes.withColumns({"y": F.col("cy") - 5, "cx": F.when(F.col("structural"), F.col("x")).otherwise(F.col("x") + 20)})
-    bands = part.select(k.alias("doc_id"), F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.lit(t).alias("top"), F.lit(t + 30).alias("bottom")) for b, t in ((1, 90.0), (2, 130.0))])).alias("b")).select("doc_id", "b.*")
+    bands = part.select(k, F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.lit(t).alias("top"), F.lit(t + 30).alias("bottom")) for b, t in ((1, 90.0), (2, 130.0))])).alias("b")).select("doc_id", "b.*")
     return S.grid_rows(nodes, bands, ["doc_id"])
 
 
