@@ -24,13 +24,21 @@ def _cell(c: Column, size: float) -> Column:
     return F.floor(c / size).cast("long")
 
 
-def _beside(points: DataFrame, others: DataFrame, at: list[str]) -> DataFrame:
-    """Points with each of the others in their cell (columns ``at``) as ``_r``. They meet in a window over the cell, not in a
-    join: where both sides are dealt by the page or its document already, no row is shuffled again, and none is broadcast."""
-    both = points.unionByName(others.select(*at, F.struct(*[c for c in others.columns if c not in at]).alias("_r")), allowMissingColumns=True)
-    both = both.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in at]))
-    near = F.collect_list("_r").over(Window.partitionBy(*at))
-    return both.withColumn("_near", near).filter("_r is null").select(*points.columns, F.explode("_near").alias("_r"))
+def _beside(points: DataFrame, others: DataFrame, by: list[str], cell: list[str]) -> DataFrame:
+    """Points with each of the others in their cell (the columns ``cell`` of a page ``by``) as ``_r``. A page's rows of both sides
+    are put beside each other in one row and taken apart again, and meet in a window over the cell: where both sides are dealt by
+    the page already, no row is shuffled again, and none is broadcast. No union stands in between, since after a reused exchange
+    Spark may give one other partitions than it has planned with (spark.sql.unionOutputPartitioning)."""
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cell])
+    own, held = [c for c in points.columns if c not in by], [c for c in others.columns if c not in [*by, *cell]]
+    point, other = F.struct(*own), F.struct(*held)
+    none = lambda df, c: F.lit(None).cast(df.select(c.alias("c")).schema["c"].dataType)
+    row = lambda p, r: F.struct(*cell, p.alias("_p"), r.alias("_r"))
+    pages = lambda df, c, name: df.filter(known).groupBy(*by).agg(F.collect_list(c).alias(name))
+    both = pages(points, row(point, none(others, other)), "_a").join(pages(others, row(none(points, point), other), "_b").hint("merge"), by)
+    both = both.select(*by, F.explode_outer(F.concat("_a", "_b")).alias("_e")).select(*by, "_e.*")
+    near = F.collect_list("_r").over(Window.partitionBy(*by, *cell))
+    return both.withColumn("_near", near).filter("_p is not null").select(*by, "_p.*", F.explode("_near").alias("_r"))
 
 
 def in_ranges(points: DataFrame, ranges: DataFrame, by: list[str], position: Column, low: str, high: str, cell: float) -> DataFrame:
@@ -38,7 +46,7 @@ def in_ranges(points: DataFrame, ranges: DataFrame, by: list[str], position: Col
     own, held = [c for c in points.columns if c not in by], [c for c in ranges.columns if c not in by]
     p = points.withColumn("_c", _cell(position, cell))
     r = ranges.withColumn("_c", F.explode(F.sequence(_cell(F.col(low), cell), _cell(F.col(high), cell))))
-    d = _beside(p, r, [*by, "_c"]).select(*by, *own, *[F.col("_r")[c].alias(c) for c in held])
+    d = _beside(p, r, by, ["_c"]).select(*by, *own, *[F.col("_r")[c].alias(c) for c in held])
     return d.filter(position.between(F.col(low), F.col(high)))
 
 
@@ -51,7 +59,7 @@ def contained(points: DataFrame, rects: DataFrame, by: list[str], cell: float =
     r = rects.filter(f"rx0 - {margin} <= rx1 + {margin} and ry0 - {margin} <= ry1 + {margin}")
     r = r.withColumn("_cx", F.explode(span("rx0", "rx1", width))).withColumn("_cy", F.explode(span("ry0", "ry1", cell)))
     p = points.withColumn("_cx", _cell(F.col("cx"), width)).withColumn("_cy", _cell(F.col("cy"), cell))
-    d = _beside(p, r, [*by, "_cx", "_cy"]).select(*by, *own, *[F.col("_r")[c].alias(c) for c in held])
+    d = _beside(p, r, by, ["_cx", "_cy"]).select(*by, *own, *[F.col("_r")[c].alias(c) for c in held])
     inside = F.col("cx").between(F.col("rx0") - margin, F.col("rx1") + margin) & F.col("cy").between(F.col("ry0") - margin, F.col("ry1") + margin)
     return d.filter(inside)
 
